@@ -73,3 +73,26 @@ def date_dim(spark: SparkSession, start: str, end: str,
         day_name(d).alias("day_name"),
         fiscal_year(d, fiscal_start_month).alias("fiscal_year"),
     )
+
+
+def fiscal_month_range(fiscal_year_: int, month: int, start_month: int = 7) -> tuple[str, str]:
+    """Half-open ``[start, end)`` dates of one month of a fiscal year."""
+    year = fiscal_year_ - 1 if (start_month > 1 and month >= start_month) else fiscal_year_
+    nxt_y, nxt_m = (year + 1, 1) if month == 12 else (year, month + 1)
+    return f"{year}-{month:02d}-01", f"{nxt_y}-{nxt_m:02d}-01"
+
+
+def fiscal_year_range(fiscal_year_: int, start_month: int = 7) -> tuple[str, str]:
+    """Half-open ``[start, end)`` dates of a whole fiscal year."""
+    if start_month == 1:
+        return f"{fiscal_year_}-01-01", f"{fiscal_year_ + 1}-01-01"
+    return (f"{fiscal_year_ - 1}-{start_month:02d}-01", f"{fiscal_year_}-{start_month:02d}-01")
+
+
+def any_range(c, ranges: list[tuple[str, str]]) -> Column:
+    """OR of half-open ranges on a raw column, so the scan can prune row groups."""
+    out = None
+    for lo, hi in ranges:
+        cond = in_range(c, lo, hi, half_open=True)
+        out = cond if out is None else out | cond
+    return out
