@@ -31,9 +31,11 @@ def pct(num, den, scale: int = 2, precision: int = 5) -> Column:
 
 
 def dummy_measure(key, lo: int = 20, hi: int = 100) -> Column:
-    """A stable integer in ``[lo, hi]`` derived from a key.
+    """A stable integer in ``[lo, hi]`` derived from an integer key.
 
-    ``rand()`` changes with partitioning; a hash of the key does not.
+    ``rand()`` changes with partitioning; arithmetic on the key does not.
+    The key is folded below 1,000,003 first so the product cannot overflow.
     """
     span = hi - lo + 1
-    return (F.pmod(F.xxhash64(_c(key)), F.lit(span)) + lo).cast("int")
+    folded = F.pmod(_c(key), F.lit(1000003)) * 7919
+    return (F.pmod(folded, F.lit(span)) + lo).cast("int")
