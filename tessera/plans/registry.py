@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from tessera.session import apply_runtime_defaults
 
-MODULES = ["sales", "cohorts", "status", "events", "titles", "rentals"]
+MODULES = ["sales", "cohorts", "status", "events", "titles", "rentals", "basics"]
 
 
 def _modules():
