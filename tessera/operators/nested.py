@@ -52,19 +52,20 @@ def array_sizes(df: DataFrame, cols: list[str]) -> dict[tuple, int]:
     return {k: int(row[i] or 0) for i, k in enumerate(keys)}
 
 
-def _leaves(e: Column, dtype: DataType, name: str, path: tuple, sizes: dict,
-            caps: dict, depth: int):
+def _leaves(e: Column, dtype: DataType, name: str, path: tuple, sizes: dict, caps: dict):
     if isinstance(dtype, StructType):
         for f in dtype.fields:
-            yield from _leaves(e[f.name], f.dataType, f"{name}{f.name}_", path + (f.name,), sizes, caps, depth)
+            yield from _leaves(e[f.name], f.dataType, f"{name}{f.name}_", path + (f.name,), sizes, caps)
     elif isinstance(dtype, ArrayType):
         n = sizes.get(path, 0)
-        cap = caps.get("top" if depth == 0 else "nested")
+        # "top" = the flattened column is itself an array (names start with
+        # the position); every other array is "nested".
+        cap = caps.get("top" if len(path) == 1 else "nested")
         if cap is not None:
             n = min(n, cap)
         for i in range(n):
             yield from _leaves(F.get(e, F.lit(i)), dtype.elementType, f"{name}{i}_", path + ("[]",),
-                               sizes, caps, depth + 1)
+                               sizes, caps)
     elif isinstance(dtype, MapType):
         raise TypeError("map columns have open keys: read them as VARIANT and extract paths")
     else:
@@ -98,7 +99,7 @@ def flatten(df: DataFrame, cols: list[str], prefix: bool = False,
             out.append(F.col(f"`{c}`"))
             names.append(c)
             continue
-        for leaf, e in _leaves(F.col(f"`{c}`"), dtype, base, (c,), sizes, caps, 0):
+        for leaf, e in _leaves(F.col(f"`{c}`"), dtype, base, (c,), sizes, caps):
             out.append(e.alias(leaf))
             names.append(leaf)
     dup = sorted({n for n in names if names.count(n) > 1})
