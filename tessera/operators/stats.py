@@ -2,16 +2,17 @@
 
 All statistics are aggregates with map-side combine.  Whole-frame values
 (min, max, quartiles) are scalar subqueries planned once; grouped values are
-joined back to the rows on the group key.  Exact quartiles use
-``percentile`` over (value, count) pairs -- buffers hold distinct values,
-not rows; ``exact=False`` switches to ``percentile_approx`` (a mergeable
-sketch of bounded size) for columns with very many distinct values.
+joined back to the rows on the group key.  Exact quartiles come from
+``tessera.operators.quantiles`` (no group is ever gathered into one task);
+``exact=False`` switches to ``percentile_approx`` (a mergeable sketch).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tessera.operators.quantiles import exact_quantiles
+
 QUARTILES = [0.25, 0.5, 0.75]
 
 
@@ -30,30 +31,24 @@ def schema_profile(df: DataFrame) -> DataFrame:
     return long.select("column_name", types[F.col("column_name")].alias("data_type"), "non_null_count")
 
 
-def _quantiles(value: Column, weight: Column | None, exact: bool, accuracy: int):
-    if exact:
-        return (F.percentile(value, F.array(*[F.lit(q) for q in QUARTILES]), weight)
-                if weight is not None else F.percentile(value, F.array(*[F.lit(q) for q in QUARTILES])))
-    return F.percentile_approx(value, QUARTILES, accuracy)
-
-
 def describe(df: DataFrame, col: str, by: list[str] | None = None, exact: bool = True,
-             accuracy: int = 100000) -> DataFrame:
+             accuracy: int = 10000, buckets: int = 512) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear), max.
 
-    Moments come from the raw rows; quartiles from (value, count) pairs
-    pre-aggregated per group, so repeated values cost one entry.
+    Moments are one aggregate.  Exact quartiles come from
+    ``exact_quantiles`` (value ranges split across tasks, so a very large
+    group is never sorted by one task); ``exact=False`` uses the
+    ``percentile_approx`` sketch instead.
     """
     by = by or []
     v = F.col(col)
     moments = df.groupBy(*by).agg(F.count(v).alias("count"), F.avg(v).alias("mean"),
                                   F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
                                   F.max(v).alias("max"))
-    freq = df.filter(v.isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("__w"))
-    q = freq.groupBy(*by).agg(_quantiles(F.col(col), F.col("__w") if exact else None, exact,
-                                         accuracy).alias("__q"))
-    if not exact:  # the sketch needs raw rows, not pairs
-        q = df.groupBy(*by).agg(_quantiles(v, None, False, accuracy).alias("__q"))
+    if exact:
+        q = exact_quantiles(df, col, QUARTILES, by, buckets, out="__q")
+    else:
+        q = df.groupBy(*by).agg(F.percentile_approx(v, QUARTILES, accuracy).alias("__q"))
     if by:
         out = moments.join(q, by, "left")
     else:
