@@ -32,7 +32,7 @@ def schema_profile(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, col: str, by: list[str] | None = None, exact: bool = True,
-             accuracy: int = 10000, buckets: int = 512) -> DataFrame:
+             accuracy: int = 10000, buckets: int = 128) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear), max.
 
     Moments are one aggregate.  Exact quartiles come from
@@ -91,8 +91,8 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     rows).  If min = max every value falls in the first bin.
     """
     v = F.col(col).cast("double")
-    stats = df.select(F.min(v).alias("mn"), F.max(v).alias("mx"))
-    mn, mx = stats.select("mn").scalar(), stats.select("mx").scalar()
+    rng = df.select(F.struct(F.min(v).alias("mn"), F.max(v).alias("mx"))).scalar()  # one subquery
+    mn, mx = rng["mn"], rng["mx"]
     idx = F.when(mx == mn, F.lit(1)).otherwise(
         F.least(F.floor((v - mn) / (mx - mn) * bins) + 1, F.lit(bins))).cast("int")
     counts = df.filter(v.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -122,7 +122,9 @@ def box_stats(df: DataFrame, col: str, by: list[str] | None = None, whis: float
     if by:
         j = rows.join(q, by, "inner")
     else:
-        j = rows.withColumns({c: q.select(c).scalar() for c in ["p25", "p50", "p75", "lo_fence", "hi_fence"]})
+        fences = q.select(F.struct("p25", "p50", "p75", "lo_fence", "hi_fence")).scalar()  # one subquery
+        j = rows.withColumn("__f", fences).select(
+            col, *[F.col(f"__f.{c}").alias(c) for c in ["p25", "p50", "p75", "lo_fence", "hi_fence"]])
     return (j.filter(v.isNotNull()).groupBy(*by, "p25", "p50", "p75", "lo_fence", "hi_fence")
             .agg(F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_low"),
                  F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_high"),

@@ -116,13 +116,16 @@ def rental_scatter_source(spark, base):
     li = Warehouse(spark, base).lineitem
     x, y = F.col("l_quantity"), F.col("l_extendedprice")
 
-    def binned(c):
-        mn, mx = li.select(F.min(c)).scalar(), li.select(F.max(c)).scalar()
+    rng = li.select(F.struct(F.min(x).alias("xmn"), F.max(x).alias("xmx"),
+                             F.min(y).alias("ymn"), F.max(y).alias("ymx"))).scalar()  # one subquery
+
+    def binned(c, mn, mx):
         return F.when(mx == mn, F.lit(1)).otherwise(
             F.least(F.floor((c - mn) / (mx - mn) * BINS) + 1, F.lit(BINS))).cast("int")
 
     return (li.filter(x.isNotNull() & y.isNotNull())
-            .groupBy(F.col("l_returnflag").alias("grp"), binned(x).alias("x_bin"), binned(y).alias("y_bin"))
+            .groupBy(F.col("l_returnflag").alias("grp"), binned(x, rng["xmn"], rng["xmx"]).alias("x_bin"),
+                     binned(y, rng["ymn"], rng["ymx"]).alias("y_bin"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
