@@ -35,7 +35,11 @@ def read_pages(spark: SparkSession, path: str, schema: StructType | str,
     missing from an event come back as NULL because every document is read
     with the same schema.
     """
-    docs = spark.read.schema(schema).json(path)
+    return page_events(spark.read.schema(schema).json(path), events_path)
+
+
+def page_events(docs: DataFrame, events_path: str = "_embedded.events") -> DataFrame:
+    """The page rule on a frame of page documents (batch or streaming)."""
     counted = docs.filter(F.col("page").isNotNull()
                           & (F.col("page.number") < F.col("page.totalPages")))
     return counted.select(F.explode(F.col(events_path)).alias("event")).select("event.*")

@@ -175,3 +175,10 @@ def test_cohort_properties(spark):
         if r.first_month == r.retention_month:
             assert float(r.retention_rate) == 1.0
     assert rows(c.new) == [(dt.date(1997, 1, 1), 1), (dt.date(1997, 3, 1), 1)]
+
+
+def test_transpose_small_T11(spark):
+    from tessera.operators.reshape import transpose_small
+    df = spark.createDataFrame([("F", 1, 2), ("O", 3, 4)], "t string, a bigint, b bigint")
+    got = {r[0]: tuple(r[1:]) for r in transpose_small(df, "t").collect()}
+    assert got == {"a": (1, 3), "b": (2, 4)}
