@@ -73,7 +73,8 @@ def _leaves(e: Column, dtype: DataType, name: str, path: tuple, sizes: dict, cap
 
 
 def flatten(df: DataFrame, cols: list[str], prefix: bool = False,
-            top_positions: int | None = None, nested_positions: int | None = None) -> DataFrame:
+            top_positions: int | None = None, nested_positions: int | None = None,
+            materialize: bool = False) -> DataFrame:
     """``flatten(df, cols_to_flatten) -> df``.
 
     Root columns not in ``cols`` are kept; each listed column is replaced by
@@ -83,7 +84,15 @@ def flatten(df: DataFrame, cols: list[str], prefix: bool = False,
     the first positions of top-level / nested arrays (N2), which also bounds
     the number of output columns.  Repeated output names raise instead of
     silently dropping every copy (D26).
+
+    ``materialize`` checkpoints ``df`` first (reliable checkpoint in
+    ``spark.checkpoint.dir``) so an expensive input is computed once for the
+    size pass and the projection.
     """
+    if materialize:
+        from tessera.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     sizes = array_sizes(df, cols)
     caps = {"top": top_positions, "nested": nested_positions}
     out: list[Column] = []
