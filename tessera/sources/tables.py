@@ -38,3 +38,8 @@ class Warehouse:
     @cached_property
     def names(self) -> tuple[str, ...]:
         return TABLES
+
+
+def catalog_table(spark: SparkSession, name: str) -> DataFrame:
+    """A3: a table registered in the session catalog (``db.table`` names)."""
+    return spark.table(name)
