@@ -77,3 +77,14 @@ def local_path(path: str) -> str:
 def ensure_dir(path: str) -> str:
     os.makedirs(local_path(path), exist_ok=True)
     return path
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage (reliable checkpoint).
+
+    Used where one derived frame feeds several branches of a plan; the data
+    lands in the shared checkpoint folder, so a lost executor does not force
+    the whole prefix to be recomputed.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
