@@ -51,6 +51,11 @@ def in_range(c, start: str, end: str, half_open: bool = False) -> Column:
     return (c >= lo) & ((c < hi) if half_open else (c <= hi))
 
 
+def date_dim_rows(start: str, end: str) -> int:
+    """Row count of ``date_dim(start, end)``, known without reading data."""
+    return (_dt.date.fromisoformat(end) - _dt.date.fromisoformat(start)).days + 1
+
+
 def date_dim(spark: SparkSession, start: str, end: str,
              fiscal_start_month: int = 7) -> DataFrame:
     """C4: a generated calendar, one row per day in ``[start, end]``.

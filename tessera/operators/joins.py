@@ -1,12 +1,13 @@
 """Joins (C1-C14).
 
-Broadcast policy: a side is hinted for broadcast only when its size has a
-bound known without reading data (``bounded``): a reference list such as
-region or nation, a generated calendar, a level list, a one-row aggregate.
-Every other dimension is joined plainly; Catalyst's size estimate and AQE's
-runtime statistics (``spark.sql.adaptive.autoBroadcastJoinThreshold``) turn
-it into a broadcast when it is measured small, and into a shuffle join when
-it is not, so a dimension that grows with the data never ends up in memory.
+Broadcast policy: a side is hinted for broadcast only behind a size check.
+``bounded`` counts at most ``max_rows + 1`` rows of the side (a limit-bounded
+job that stops reading early) and hints the broadcast only when the side is
+within the bound; above it the join is left to the planner, i.e. AQE's
+runtime statistics decide between a broadcast and a shuffle join.  Frames
+whose size follows from parameters (a generated calendar, a level list, a
+bin frame) pass ``known_rows`` and need no check.  Every dimension that grows
+with the data (customer, supplier, part) is never hinted at all.
 """
 
 from __future__ import annotations
@@ -15,10 +16,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
+BROADCAST_MAX_ROWS = 100_000
 
-def bounded(df: DataFrame) -> DataFrame:
-    """Mark a side whose row count has a known bound as broadcastable."""
-    return F.broadcast(df)
+
+def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
+    """Broadcast-hint ``df`` if it holds at most ``max_rows`` rows, else leave it."""
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
 
 
 @dataclass
@@ -28,8 +32,9 @@ class Link:
     left_key: str | list[str]
     dim_key: str | list[str]
     columns: list[str] = field(default_factory=list)
-    small: bool = False          # True only for dims with a proven size bound
+    small: bool = False          # try a broadcast, behind the size check of ``bounded``
     how: str = "left"
+    rows: int | None = None      # row bound known from parameters (skips the check)
 
 
 def enrich(fact: DataFrame, chain: list[Link]) -> DataFrame:
@@ -46,7 +51,7 @@ def enrich(fact: DataFrame, chain: list[Link]) -> DataFrame:
         tmp = [f"__k{i}" for i in range(len(dk))]
         dim = link.dim.select(*[F.col(k).alias(t) for k, t in zip(dk, tmp)], *link.columns)
         if link.small:
-            dim = bounded(dim)
+            dim = bounded(dim, known_rows=link.rows)
         cond = None
         for a, b in zip(lk, tmp):
             c = out[a] == dim[b]

@@ -23,6 +23,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tessera.operators.joins import bounded
+
 
 def _bucket(bounds, v, lo: int, hi: int):
     """Number of sorted ``bounds[lo:hi]`` below ``v`` plus ``lo``: a balanced
@@ -63,14 +65,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] |
     want = want.select(*by, "__qi", "__p",
                        F.explode(F.array(F.floor("__p").cast("bigint"), F.ceil("__p").cast("bigint"))).alias("__rank"))
     located = (want.join(counts, by) if by else want.withColumn("__one", F.lit(1)).join(
-        F.broadcast(counts.withColumn("__one", F.lit(1))), "__one"))
+        bounded(counts.withColumn("__one", F.lit(1)), known_rows=buckets), "__one"))
     located = located.filter((F.col("__rank") >= F.col("__before"))
                              & (F.col("__rank") < F.col("__before") + F.col("__c")))
     located = located.select(*by, "__qi", "__p", "__rank", "__k", "__before")
 
     wanted_buckets = located.select(*by, "__k").distinct()
     if not by:  # at most two buckets per probability: a proven bound
-        wanted_buckets = F.broadcast(wanted_buckets)
+        wanted_buckets = bounded(wanted_buckets, known_rows=2 * len(probs))
     inside = freq.join(wanted_buckets, [*by, "__k"], "left_semi")
     run = Window.partitionBy(*by, "__k").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     inside = inside.withColumn("__upto", F.sum("__w").over(run))

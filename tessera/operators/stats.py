@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tessera.operators.joins import bounded
 from tessera.operators.quantiles import exact_quantiles
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -98,7 +99,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     counts = df.filter(v.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     frame = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     width = (mx - mn) / bins
-    return (F.broadcast(frame).join(counts, "bin", "left")
+    return (bounded(frame, known_rows=bins).join(counts, "bin", "left")
             .select("bin", (mn + width * (F.col("bin") - 1)).alias("lower"),
                     (mn + width * F.col("bin")).alias("upper"),
                     F.coalesce(F.col("count"), F.lit(0)).alias("count"))

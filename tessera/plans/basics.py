@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from tessera.functions.dates import in_range
 from tessera.functions.numeric import money
 from tessera.operators.aggregates import top_k
-from tessera.operators.joins import Link, enrich, semi
+from tessera.operators.joins import Link, bounded, enrich, semi
 from tessera.plans.events import events_view, fact_events
 from tessera.sources.tables import Warehouse
 
@@ -68,7 +68,7 @@ def conformed_dimension(spark, base):
     keys = c.select("nation_key").union(s.select("nation_key")).distinct()
     dim = w.nation.select(F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("nation_name"))
     out = (keys.join(c, "nation_key", "left").join(s, "nation_key", "left")
-           .join(F.broadcast(dim), "nation_key", "left"))
+           .join(bounded(dim), "nation_key", "left"))
     return out.select("nation_key", "nation_name",
                       F.coalesce("customers", F.lit(0)).alias("customers"),
                       F.coalesce("suppliers", F.lit(0)).alias("suppliers"),

@@ -182,3 +182,15 @@ def test_transpose_small_T11(spark):
     df = spark.createDataFrame([("F", 1, 2), ("O", 3, 4)], "t string, a bigint, b bigint")
     got = {r[0]: tuple(r[1:]) for r in transpose_small(df, "t").collect()}
     assert got == {"a": (1, 3), "b": (2, 4)}
+
+
+def test_broadcast_only_behind_size_check(spark):
+    from tessera.operators.joins import bounded
+    big, small = spark.range(0, 1000), spark.range(0, 5)
+    fact = spark.range(0, 100000)
+
+    def plan(dim):
+        return fact.join(dim, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(bounded(small, max_rows=10)).lower()
+    assert "strategy=broadcast" not in plan(bounded(big, max_rows=10)).lower()
+    assert "broadcast" in plan(bounded(big, max_rows=10, known_rows=3)).lower()
