@@ -41,3 +41,9 @@ def sprint_key(c, prefix: str, collapse_double_blank: bool = True) -> Column:
     if collapse_double_blank:
         out = F.replace(out, F.lit("  "), F.lit(""))
     return F.concat(F.lit(prefix), out)
+
+
+def collated(c, collation: str = "UTF8_LCASE") -> Column:
+    """compare/group under a collation (case-insensitive ``UTF8_LCASE``,
+    trailing-blank-insensitive ``UTF8_BINARY_RTRIM``); binary is the default."""
+    return F.collate(_c(c), collation)

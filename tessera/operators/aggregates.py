@@ -54,3 +54,14 @@ def hit_rate(col: str, flag: Column) -> Column:
     """Filtered distinct / distinct, 0 when there is nothing."""
     return F.coalesce(F.try_divide(filtered_distinct(col, flag), F.count_distinct(F.col(col))),
                       F.lit(0.0))
+
+
+def distinct_count(col: str, approx: bool = False, count_null: bool = False, rsd: float = 0.01) -> Column:
+    """Distinct count; ``approx`` uses a HyperLogLog++ sketch (fixed
+    size per group); ``count_null`` counts NULL as one more value, as a BI
+    tool's distinct count of a column with blanks does."""
+    c = F.col(col)
+    base = F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
+    if count_null:
+        base = base + F.max(F.when(c.isNull(), 1).otherwise(0))
+    return base

@@ -97,3 +97,28 @@ def test_ordinal_and_bucket_edges_F19_F21(spark):
     assert got == [None, "cur", "cur", "prev", "prev", None, None]
     df2 = spark.createDataFrame([("To Do",), ("Other",)], "s string")
     assert [r[0] for r in df2.select(ordinal("s", ["Bug Raised", "To Do"], default=7)).collect()] == [1, 7]
+
+
+def test_collation_option_D9(spark):
+    from tessera.functions.text import collated
+    df = spark.createDataFrame([("Bikes",), ("BIKES",), ("bikes ",)], "c string")
+    assert df.filter(F.col("c") == "bikes").count() == 0
+    assert df.filter(collated("c") == "bikes").count() == 2
+    assert df.filter(collated("c", "UTF8_BINARY_RTRIM") == "bikes").count() == 1
+
+
+def test_distinct_count_options_G4_D30(spark):
+    from tessera.operators.aggregates import distinct_count
+    df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "c string")
+    r = df.agg(distinct_count("c").alias("d"), distinct_count("c", count_null=True).alias("n"),
+               distinct_count("c", approx=True).alias("a")).first()
+    assert (r.d, r.n, r.a) == (2, 3, 2)
+
+
+def test_read_csv_declared_schema_and_bad_rows_A1(spark, tmp_path):
+    from tessera.sources.files import read_csv
+    p = tmp_path / "t.csv"
+    p.write_text("type,title,year\nMovie,A,2019\nTV Show,B,not-a-year\n")
+    df = read_csv(spark, str(p), "type string, title string, year int, _bad string", corrupt_column="_bad")
+    got = sorted((r.title, r.year, r._bad is not None) for r in df.collect())
+    assert got == [("A", 2019, False), ("B", None, True)]
