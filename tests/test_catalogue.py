@@ -15,6 +15,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SMALL
 from tessera.sources.tables import TABLES
+from test_properties import _raw_path, _tree, _walk
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -70,13 +71,17 @@ def test_matches_oracle(spark, con, name):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plan_stays_on_the_jvm(spark, name):
-    """No Python UDF operator in any plan (everything is a Spark expression)."""
+def test_plan_shape(spark, name):
+    """No Python UDF operator in any plan, and no single-partition exchange
+    directly over raw rows (only over aggregates or limits)."""
     if name in ROWS_ONLY | {"load_events"}:
         pytest.skip("writes files")
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in plan
+    for n in _walk(_tree(plan)):
+        if n["text"].startswith("Exchange SinglePartition"):
+            assert not any(_raw_path(k) for k in n["kids"]), f"{name}: {n['text']}"
 
 
 def test_dimensions_are_broadcast_facts_are_not(spark):

@@ -90,14 +90,6 @@ def _walk(nodes):
         yield from _walk(n["kids"])
 
 
-@pytest.mark.parametrize("name", sorted(set(Q) - {"ingest_pages", "load_events"}))
-def test_no_single_partition_exchange_over_raw_rows(spark, name):
-    plan = Q[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-    for n in _walk(_tree(plan)):
-        if n["text"].startswith("Exchange SinglePartition"):
-            assert not any(_raw_path(k) for k in n["kids"]), f"{name}: {n['text']}"
-
-
 # --- exact quantiles against numpy-style linear interpolation -----------------
 def _linear(values, q):
     v = sorted(values)
