@@ -19,9 +19,22 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
+_CHECKED: dict[tuple, int] = {}
+
+
 def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Broadcast-hint ``df`` if it holds at most ``max_rows`` rows, else leave it."""
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
+    """Broadcast-hint ``df`` if it holds at most ``max_rows`` rows, else leave it.
+
+    The count is remembered per session and plan (``semanticHash``), so a
+    dimension used by many queries is checked once -- the same horizon as
+    Spark's own cache of file listings.
+    """
+    n = known_rows
+    if n is None:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+        if key not in _CHECKED:
+            _CHECKED[key] = df.limit(max_rows + 1).count()
+        n = _CHECKED[key]
     return F.broadcast(df) if n <= max_rows else df
 
 

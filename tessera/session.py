@@ -24,6 +24,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of a frame are removed once the frame is garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

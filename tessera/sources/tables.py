@@ -15,9 +15,26 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
+_READERS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """One table of a warehouse folder (``<base>/<name>.parquet``)."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    """One table of a warehouse folder (``<base>/<name>.parquet``).
+
+    The reader (file listing + footer schema) is built once per session and
+    path and reused by every query -- the DataFrame is lazy and immutable, so
+    sharing it is safe.  Call ``refresh()`` after rewriting a table.
+    """
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
+
+
+def refresh() -> None:
+    """Forget cached readers (new files become visible to the next query)."""
+    _READERS.clear()
 
 
 class Warehouse:
