@@ -90,3 +90,24 @@ def materialize(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, floor: int = 200) -> int:
+    """A starting ``spark.sql.shuffle.partitions`` for a job reading ``input_bytes``.
+
+    One partition per ``target_bytes`` of input keeps every reducer's share
+    small enough to sort or hash in executor memory (100 TB -> ~400k); AQE
+    then coalesces partitions that turn out small after aggregation, so
+    starting high costs little while starting low causes spills.
+    """
+    return max(floor, -(-int(input_bytes) // target_bytes))
+
+
+def cluster_settings(input_bytes: int) -> dict[str, str]:
+    """Settings for a large run: partitions sized from the input, AQE targets."""
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions_for(input_bytes)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+    }

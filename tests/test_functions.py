@@ -122,3 +122,10 @@ def test_read_csv_declared_schema_and_bad_rows_A1(spark, tmp_path):
     df = read_csv(spark, str(p), "type string, title string, year int, _bad string", corrupt_column="_bad")
     got = sorted((r.title, r.year, r._bad is not None) for r in df.collect())
     assert got == [("A", 2019, False), ("B", None, True)]
+
+
+def test_shuffle_partition_sizing():
+    from tessera.session import cluster_settings, shuffle_partitions_for
+    assert shuffle_partitions_for(10 << 20) == 200
+    assert shuffle_partitions_for(100 * (1 << 40)) == 409600
+    assert cluster_settings(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
