@@ -46,13 +46,13 @@ def page_events(docs: DataFrame, events_path: str = "_embedded.events") -> DataF
 
 
 def save_table(df: DataFrame, path: str, fmt: str = "parquet",
-               mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+               mode: str = "overwrite", partition_by: list[str] | None = None, **options) -> None:
     """Replace the table at ``path`` with ``df`` in one write.
 
     The replace-then-append pair of the original becomes a single overwrite;
     no positional index column is written.
     """
-    writer = df.write.mode(mode).format(fmt)
+    writer = df.write.mode(mode).format(fmt).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
