@@ -18,7 +18,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.functions.dates import in_range, month_start
-from tessera.functions.numeric import pct  # noqa: F401  (re-exported helper)
 from tessera.operators.reshape import cross_tab
 
 

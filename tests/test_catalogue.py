@@ -4,7 +4,6 @@ The oracle comparison runs on sf0.001 here (the driver repeats it on
 sf0.01; ``python tools/oracle_check.py`` does the same locally).
 """
 
-import datetime as dt
 import decimal
 import math
 from collections import Counter

@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import (
@@ -129,3 +128,23 @@ def test_shuffle_partition_sizing():
     assert shuffle_partitions_for(10 << 20) == 200
     assert shuffle_partitions_for(100 * (1 << 40)) == 409600
     assert cluster_settings(1 << 40)["spark.sql.shuffle.partitions"] == "4096"
+
+
+def test_null_safe_flags_and_case_else_D14_F22_F23(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "b"), (None, "b"), (None, None)], "x string, y string")
+    got = df.select(F.coalesce(F.col("x") != F.col("y"), F.lit(False)).alias("changed"),
+                    F.coalesce(F.col("x") == F.col("y"), F.lit(False)).alias("equal"),
+                    F.when(F.col("x") == "a", 1).otherwise(7).alias("decode")).collect()
+    assert [tuple(r) for r in got] == [(False, True, 1), (True, False, 1), (False, False, 7), (False, False, 7)]
+
+
+def test_text_dates_with_blank_and_bad_values_D23(spark):
+    df = spark.createDataFrame([(" June 5, 1997",), ("June 15, 1997",), ("15/06/1997",), (None,)], "d string")
+    got = [r[0] for r in df.select(F.try_to_date(F.trim("d"), "MMMM d, yyyy")).collect()]
+    assert got == [dt.date(1997, 6, 5), dt.date(1997, 6, 15), None, None]
+
+
+def test_top_list_ignores_null_key_D15(spark):
+    from tessera.plans.titles import _top10
+    df = spark.createDataFrame([("US", "t1"), (None, "t2"), (None, "t3"), ("IN", "t4")], "first_country string, title string")
+    assert [r.first_country for r in _top10(df).collect()] == ["IN", "US"]

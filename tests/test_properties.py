@@ -1,9 +1,7 @@
 """SURVEY 5.3 properties on real query outputs (sf0.01) and plan structure."""
 
-import random
 import re
 
-import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
