@@ -1,21 +1,22 @@
 """Cohort retention (Q29-Q32).
 
-One scan of the fact.  The fact is first reduced to distinct
-(subject, month) pairs -- at most 12 rows per subject and year whatever the
-raw row count -- and both the first month and the retained counts are
-computed from that small frame:
-
-    fact --distinct(subject, month)--> active
-    active --min(month) by subject--> first        (shuffle 1, on subject)
-    active ⋈ first on subject --count--> retained   (reuses shuffle 1)
-    first --count by first month--> new             (tiny)
+One scan of the fact, one pass.  The fact is first reduced to distinct
+(subject, month) pairs -- at most one row per subject and month whatever the
+raw row count, combined map-side -- and everything else comes from that:
+
+    fact --distinct(subject, month)--> active                 (shuffle 1)
+    active --min(month) over (partition by subject)--> tagged (shuffle 2; a
+                                     partition holds one subject's months)
+    tagged --count by (first month, month)--> retained        (tiny)
+    retained --diagonal (month = first month)--> new subjects (window on the
+                                     tiny frame; no join back)
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tessera.functions.dates import in_range, month_start
 from tessera.operators.reshape import cross_tab
@@ -39,15 +40,20 @@ def cohort(df: DataFrame, subject: str, date: str, start: str, end: str,
               .select(F.col(subject).alias("subject"),
                       month_start(date).alias("retention_month"))
               .distinct())
-    first = active.groupBy("subject").agg(F.min("retention_month").alias("first_month"))
-    new = first.groupBy("first_month").agg(F.count("subject").alias("new_subjects"))
-    retained = (active.join(first, "subject", "left")
-                .groupBy("first_month", "retention_month")
+    tagged = active.withColumn("first_month",
+                               F.min("retention_month").over(Window.partitionBy("subject")))
+    first = tagged.filter(F.col("retention_month") == F.col("first_month")).select("subject", "first_month")
+    retained = (tagged.groupBy("first_month", "retention_month")
                 .agg(F.count("subject").alias("retained_subjects")))
-    long = (new.join(retained, "first_month", "left")
+    # a subject is active in its own first month, so the cohort size is the diagonal
+    diagonal = F.when(F.col("retention_month") == F.col("first_month"), F.col("retained_subjects"))
+    long = (retained
+            .withColumn("new_subjects", F.max(diagonal).over(Window.partitionBy("first_month")))
             .withColumn("retention_rate",
                         F.try_divide(F.col("retained_subjects").cast("decimal(20,0)"),
-                                     F.col("new_subjects")).cast("decimal(5,3)")))
+                                     F.col("new_subjects")).cast("decimal(5,3)"))
+            .select("first_month", "retention_month", "new_subjects", "retained_subjects", "retention_rate"))
+    new = long.filter(F.col("retention_month") == F.col("first_month")).select("first_month", "new_subjects")
     return Cohort(first, new, retained, long)
 
 
