@@ -135,7 +135,7 @@ WITH slot AS (
          ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS p
   FROM lineitem GROUP BY 1, 2
 )
-SELECT part_key, SUM(((l_orderkey % 1000003) * 7919) % 81 + 20) AS total_sales
+SELECT part_key, CAST(SUM(((l_orderkey % 1000003) * 7919) % 81 + 20) AS BIGINT) AS total_sales
 FROM slot WHERE p = 1 AND part_key IS NOT NULL
 GROUP BY part_key ORDER BY total_sales DESC, part_key LIMIT 10""",
 }
