@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from tessera.session import materialize as _materialize
+
 
 def _array_paths(dtype: DataType, path: tuple = ()) -> list[tuple]:
     """Schema paths of every array; ``'[]'`` marks a step into array elements."""
@@ -90,9 +92,7 @@ def flatten(df: DataFrame, cols: list[str], prefix: bool = False,
     size pass and the projection.
     """
     if materialize:
-        from tessera.session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = _materialize(df)
     sizes = array_sizes(df, cols)
     caps = {"top": top_positions, "nested": nested_positions}
     out: list[Column] = []
