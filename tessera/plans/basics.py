@@ -1,9 +1,10 @@
 """Data-manipulation basics and dashboard prose items (Q75-Q80).
 
 Fixture roles (SURVEY 7.2): department = ``p_brand`` (max of
-``p_retailprice``); avocado sales = lineitem quantity in one year for one
-return flag; homelessness by region = customer balance per region;
-temperatures by city = mean order total per day for two nations.
+``p_retailprice``); units of one product type sold in one year = lineitem
+quantity in one year for one return flag; totals by region = customer
+balance per region; a daily series for two cities = mean order total per day
+for two nations.
 """
 
 from __future__ import annotations
