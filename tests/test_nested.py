@@ -68,3 +68,17 @@ def test_read_pages_stop_rule_and_missing_keys(spark, tmp_path):
 def test_flatten_top_level_cap(spark):
     capped = flatten(_docs(spark), ["priceRanges", "sales"], top_positions=1, nested_positions=1)
     assert "0_min" in capped.columns and "presales_1_name" not in capped.columns
+
+
+def test_flatten_arrays_inside_arrays(spark):
+    schema = "id int, sales struct<presales:array<struct<name:string,tags:array<string>>>>"
+    data = [(1, {"presales": [{"name": "a", "tags": ["x"]}, {"name": "b", "tags": ["y", "z", "w"]}]}),
+            (2, {"presales": [{"name": "c", "tags": []}]})]
+    df = spark.createDataFrame(data, schema)
+    sizes = array_sizes(df, ["sales"])
+    assert sizes[("sales", "presales")] == 2 and sizes[("sales", "presales", "[]", "tags")] == 3
+    flat = flatten(df, ["sales"])
+    assert flat.columns == ["id", "presales_0_name", "presales_0_tags_0", "presales_0_tags_1", "presales_0_tags_2",
+                            "presales_1_name", "presales_1_tags_0", "presales_1_tags_1", "presales_1_tags_2"]
+    r1 = flat.filter("id = 1").first()
+    assert (r1.presales_1_tags_2, r1.presales_0_tags_1) == ("w", None)
