@@ -148,3 +148,11 @@ def test_top_list_ignores_null_key_D15(spark):
     from tessera.plans.titles import _top10
     df = spark.createDataFrame([("US", "t1"), (None, "t2"), (None, "t3"), ("IN", "t4")], "first_country string, title string")
     assert [r.first_country for r in _top10(df).collect()] == ["IN", "US"]
+
+
+def test_replace_view_and_catalog_table_A3_A7(spark):
+    from tessera.sources.files import replace_view
+    from tessera.sources.tables import catalog_table
+    replace_view(spark.range(3), "tessera_v")
+    replace_view(spark.range(5), "tessera_v")          # drop-if-exists + create
+    assert catalog_table(spark, "tessera_v").count() == 5
