@@ -89,17 +89,19 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """``bins`` equal-width bins over [min, max], last bin closed.
 
     Every bin is listed, empty ones with 0 (a generated frame of ``bins``
-    rows).  If min = max every value falls in the first bin.
+    rows).  If min = max every value falls in the first bin.  The range is
+    one scalar subquery, attached once and read through its fields.
     """
     v = F.col(col).cast("double")
-    rng = df.select(F.struct(F.min(v).alias("mn"), F.max(v).alias("mx"))).scalar()  # one subquery
-    mn, mx = rng["mn"], rng["mx"]
+    rng = df.select(F.struct(F.min(v).alias("mn"), F.max(v).alias("mx"))).scalar()
+    mn, mx = F.col("__r.mn"), F.col("__r.mx")
     idx = F.when(mx == mn, F.lit(1)).otherwise(
         F.least(F.floor((v - mn) / (mx - mn) * bins) + 1, F.lit(bins))).cast("int")
-    counts = df.filter(v.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = (df.filter(v.isNotNull()).withColumn("__r", rng)
+              .groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     frame = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     width = (mx - mn) / bins
-    return (bounded(frame, known_rows=bins).join(counts, "bin", "left")
+    return (bounded(frame, known_rows=bins).join(counts, "bin", "left").withColumn("__r", rng)
             .select("bin", (mn + width * (F.col("bin") - 1)).alias("lower"),
                     (mn + width * F.col("bin")).alias("upper"),
                     F.coalesce(F.col("count"), F.lit(0)).alias("count"))

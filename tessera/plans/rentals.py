@@ -115,7 +115,6 @@ def rental_correlation_ranking(spark, base):
 def rental_scatter_source(spark, base):
     li = Warehouse(spark, base).lineitem
     x, y = F.col("l_quantity"), F.col("l_extendedprice")
-
     rng = li.select(F.struct(F.min(x).alias("xmn"), F.max(x).alias("xmx"),
                              F.min(y).alias("ymn"), F.max(y).alias("ymx"))).scalar()  # one subquery
 
@@ -123,9 +122,10 @@ def rental_scatter_source(spark, base):
         return F.when(mx == mn, F.lit(1)).otherwise(
             F.least(F.floor((c - mn) / (mx - mn) * BINS) + 1, F.lit(BINS))).cast("int")
 
-    return (li.filter(x.isNotNull() & y.isNotNull())
-            .groupBy(F.col("l_returnflag").alias("grp"), binned(x, rng["xmn"], rng["xmx"]).alias("x_bin"),
-                     binned(y, rng["ymn"], rng["ymx"]).alias("y_bin"))
+    return (li.filter(x.isNotNull() & y.isNotNull()).withColumn("__r", rng)
+            .groupBy(F.col("l_returnflag").alias("grp"),
+                     binned(x, F.col("__r.xmn"), F.col("__r.xmx")).alias("x_bin"),
+                     binned(y, F.col("__r.ymn"), F.col("__r.ymx")).alias("y_bin"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
