@@ -74,8 +74,13 @@ def enrich(fact: DataFrame, chain: list[Link]) -> DataFrame:
 
 
 def semi(df: DataFrame, keys: DataFrame, on: str | list[str], anti: bool = False) -> DataFrame:
-    """Rows of ``df`` whose key is (not) in ``keys`` -- IN (subquery)."""
-    return df.join(keys, on, "left_anti" if anti else "left_semi")
+    """Rows of ``df`` whose key is (not) in ``keys`` -- IN (subquery).
+
+    The key side is reduced to distinct keys first (combined map-side), so a
+    key repeated on many fact rows is shuffled once per task, not per row.
+    """
+    cols = [on] if isinstance(on, str) else list(on)
+    return df.join(keys.select(*cols).distinct(), cols, "left_anti" if anti else "left_semi")
 
 
 def parent_lookup(df: DataFrame, people: DataFrame, key: str, parent_key: str,
