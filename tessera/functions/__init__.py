@@ -1,15 +1,16 @@
 """Scalar column helpers (F-series).  All are built-in Spark expressions."""
 
 from tessera.functions.dates import (
-    date_dim, fiscal_year, month_name, day_name, month_start, in_range,
-    MONTH_NAMES, DAY_NAMES,
+    DAY_NAMES, MONTH_NAMES, any_range, date_dim, date_dim_rows, day_name, fiscal_month_range,
+    fiscal_year, fiscal_year_range, in_range, month_name, month_start,
 )
-from tessera.functions.text import concat_nullsafe, first_item, sprint_key
-from tessera.functions.numeric import money, safe_ratio, dummy_measure, pct
-from tessera.functions.recode import recode, ordinal, bucket
+from tessera.functions.numeric import dummy_measure, money, pct, safe_ratio
+from tessera.functions.recode import bucket, ordinal, recode
+from tessera.functions.text import collated, concat_nullsafe, first_item, sprint_key
 
 __all__ = [
-    "date_dim", "fiscal_year", "month_name", "day_name", "month_start", "in_range",
-    "MONTH_NAMES", "DAY_NAMES", "concat_nullsafe", "first_item", "sprint_key",
-    "money", "safe_ratio", "dummy_measure", "pct", "recode", "ordinal", "bucket",
+    "DAY_NAMES", "MONTH_NAMES", "any_range", "date_dim", "date_dim_rows", "day_name",
+    "fiscal_month_range", "fiscal_year", "fiscal_year_range", "in_range", "month_name", "month_start",
+    "dummy_measure", "money", "pct", "safe_ratio", "bucket", "ordinal", "recode",
+    "collated", "concat_nullsafe", "first_item", "sprint_key",
 ]
