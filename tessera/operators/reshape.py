@@ -21,8 +21,9 @@ def unpivot_named(df: DataFrame, ids: list[str], name_pattern: str, name: str,
     """
     rx = re.compile(name_pattern)
     cols = [c for c in df.columns if rx.search(c) and c not in ids]
-    if not cols:
-        raise ValueError(f"no column matches {name_pattern!r}")
+    if not cols:  # a sheet without value columns has no cells
+        return df.select(*ids, F.lit(None).cast("string").alias(name),
+                         F.lit(None).cast("string").alias(value)).limit(0)
     long = df.unpivot(ids, cols, name, value)
     keep = F.col(value).isNotNull()
     for b in blanks:
@@ -40,6 +41,8 @@ def cross_tab(df: DataFrame, rows: list[str], col: str, values: list,
     cells are NULL (D19) unless ``fill`` is given.
     """
     agg = agg if agg is not None else F.count(F.lit(1))
+    if not values:  # no listed values: one row per key, no value columns
+        return df.select(*rows).distinct()
     out = df.groupBy(*rows).pivot(col, values).agg(agg)
     if names:
         out = out.withColumnsRenamed({str(v): n for v, n in zip(values, names)})

@@ -194,3 +194,11 @@ def test_broadcast_only_behind_size_check(spark):
     assert "broadcast" in plan(bounded(small, max_rows=10)).lower()
     assert "strategy=broadcast" not in plan(bounded(big, max_rows=10)).lower()
     assert "broadcast" in plan(bounded(big, max_rows=10, known_rows=3)).lower()
+
+
+def test_reshape_with_no_values(spark):
+    df = spark.createDataFrame([(1, "x")], "id int, v string")
+    wide = cross_tab(df, ["id"], "v", [], agg=F.first("v"))
+    assert wide.columns == ["id"]
+    long = unpivot_named(wide, ["id"], r"^W_", "s", "v")
+    assert long.columns == ["id", "s", "v"] and long.count() == 0
