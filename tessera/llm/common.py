@@ -6,11 +6,17 @@ and executors share); nothing is kept in a machine-local folder on a cluster.
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+import tessera
 
 from tessera.session import scratch_path
 
@@ -19,6 +25,19 @@ from tessera.session import scratch_path
 STEP_BYTES = 4 << 20
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Make this package importable in the session's Python workers, wherever
+    they start (once per application)."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_tessera_shipped", False):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(tessera.__file__)))
+        d = tempfile.mkdtemp()  # Spark serves the archive from the driver as long as the application runs
+        atexit.register(shutil.rmtree, d, True)
+        sc.addPyFile(shutil.make_archive(os.path.join(d, "tessera_code"), "zip", root, "tessera"))
+        sc._tessera_shipped = True
+    return spark
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared scratch folder and read it
     back: the work is done once, and a lost executor costs only its own part."""
@@ -150,3 +169,49 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.empty(0, np.int64)
     at = np.cumsum(lengths) - lengths
     return np.arange(total, dtype=np.int64) + np.repeat(starts - at, lengths)
+
+
+def pack_rows(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], list(columns))
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], rows: str, how: str = "inner") -> DataFrame:
+    """Join ``left`` to ``right`` (one row per key; ``rows`` counts the key's rows
+    on the left, or more) without sending a hot key to one task.
+
+    Keys with over 1/1000 of the left rows, of which there are at most 1000 as
+    the counts add up to those rows, are broadcast; the rest is shuffled.
+    """
+    total = left.count()
+    hot = right.where(F.col(rows) * 1000 > total)
+    rest = right.where(F.col(rows) * 1000 <= total)
+    a = left.join(F.broadcast(hot), keys, "inner")
+    cold = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return a.unionByName(cold.join(rest, keys, how).select(*a.columns))
+
+
+def connected(links: DataFrame) -> DataFrame:
+    """(id, component): the smallest id reachable over ``links`` (a, b), for ids that have a link.
+
+    Alternating large-star and small-star contraction: every round is a few
+    joins and partial aggregations over the links, kept in written tables.
+    """
+    a, b = links.columns[:2]
+    e = store(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links")
+    before = None
+    while True:
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+        big = (skew_join(both, low, ["u"], "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+               .where("u <> v").distinct())
+        big = store(big, "links")
+        low = big.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = (skew_join(big, low, ["u"], "n").select(F.explode(F.array(
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x"))
+            .select("x.u", "x.v").where("u <> v").distinct())
+        e = store(small, "links")
+        now = tuple(e.agg(F.count("*"), F.sum("v"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if now == before:
+            return e.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(
+                e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+        before = now
