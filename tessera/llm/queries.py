@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.llm import (op1_quality, op3_mix, op4_planes, op5_topk, op6_licenses,
-                         op8_pieces, op10_html)
+                         op7_suffixes, op8_pieces, op9_jaccard, op10_html)
+from tessera.llm.common import ship
 from tessera.llm.sql import ORACLE  # noqa: F401
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    return ship(spark).read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
 def op1_line_quality(spark, base):
@@ -34,13 +35,22 @@ def op6_license_rules(spark, base):
     return op6_licenses.scan(_table(spark, base, "documents"))
 
 
+def op7_suffix_dedup(spark, base):
+    return op7_suffixes.digest(_table(spark, base, "documents"))
+
+
 def op8_nbest_pieces(spark, base):
     return op8_pieces.digest(_table(spark, base, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_ngram_join(spark, base):
+    return op9_jaccard.components(_table(spark, base, "documents"))
+
+
 def op10_main_text(spark, base):
     return op10_html.extract(_table(spark, base, "pages"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_quality, op3_budget_mix, op4_bit_planes, op5_tiled_topk, op6_license_rules, op8_nbest_pieces, op10_main_text)}
+    op1_line_quality, op3_budget_mix, op4_bit_planes, op5_tiled_topk, op6_license_rules, op7_suffix_dedup,
+    op8_nbest_pieces, op9_ngram_join, op10_main_text)}

@@ -70,4 +70,4 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, least(d.doc_
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id
 """
 
-ORACLE = {"op1_line_quality": _OP1, "op5_tiled_topk": _OP5}
+ORACLE = {"op1_line_quality": _OP1, "op5_tiled_topk": _OP5, "op9_ngram_join": _OP9}
