@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tessera.llm.common import store
+from tessera.llm.common import skew_join, store
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -101,15 +101,15 @@ def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
 def _fitter(groups: Iterator[pd.DataFrame]) -> pd.DataFrame:
     g = groups.sort_values("__size")
     take = fit([int(x) for x in g["__size"]], [int(x) for x in g["__count"]], int(g["__budget"].iloc[0]))
-    return pd.DataFrame({"__src": g["__src"], "__size": g["__size"], "__extra": take})
+    return pd.DataFrame({"__src": g["__src"], "__size": g["__size"], "__count": g["__count"], "__extra": take})
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text",
         weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
     """Per document: id, source, size, source_size, target, copies, taken.
 
-    Ids are unique.  The same seed gives the same mix, however the rows are
-    partitioned.  One row per source (a list the user sets weights for) is
+    The same seed gives the same mix, however the rows are partitioned; of
+    repeated rows each is taken or not by itself.  One row per source (a list the user sets weights for) is
     read on the driver.
     """
     spark = docs.sparkSession
@@ -128,22 +128,25 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
         whole = min(max_repeats, int((t + 1e-6) // s)) if s else 0
         plan.append((k, s, float(t), whole, max(0, round(t) - whole * s)))
     per_source = spark.createDataFrame(plan, "__src string, source_size long, target double, __whole int, __budget long")
-    docs_by_length = d.where("__size > 0").groupBy("__src", "__size").agg(F.count("*").alias("__count"))
-    extra = (docs_by_length.join(F.broadcast(per_source.select("__src", "__budget").where("__budget > 0")), "__src")
-             .groupBy("__src").applyInPandas(_fitter, "__src string, __size long, __extra long").where("__extra > 0"))
+    by_length = d.where("__size > 0").groupBy("__src", "__size").agg(F.count("*").alias("__count"))
+    extra = (by_length.join(F.broadcast(per_source.select("__src", "__budget").where("__budget > 0")), "__src")
+             .groupBy("__src").applyInPandas(_fitter, "__src string, __size long, __count long, __extra long").where("__extra > 0"))
     extra = store(extra, "mix-lengths")
-    # rank by hash within (source, length): whole slices first, then inside a slice
-    c = (d.where("__size > 0").join(extra, ["__src", "__size"])
-         .withColumn("__slice", F.shiftrightunsigned("__h", 64 - (SLICES.bit_length() - 1))))
-    before = (c.groupBy("__src", "__size", "__slice").agg(F.count("*").alias("__c"))
-              .withColumn("__before", F.sum("__c").over(Window.partitionBy("__src", "__size").orderBy("__slice")) - F.col("__c"))
-              .drop("__c"))
-    in_slice = F.row_number().over(Window.partitionBy("__src", "__size", "__slice").orderBy("__h", "__id"))
-    chosen = (c.withColumn("__rank", in_slice).join(before, ["__src", "__size", "__slice"])
-              .where(F.col("__before") + F.col("__rank") <= F.col("__extra")).select("__id", F.lit(1).alias("__more")))
-    copies = (F.col("__whole") + F.coalesce("__more", F.lit(0))).cast("int")
-    return (d.join(F.broadcast(per_source), "__src").join(chosen, "__id", "left")
+    c = store(skew_join(d, extra, ["__src", "__size"], "__count", "left")
+              .withColumn("__slice", F.shiftrightunsigned("__h", 64 - (SLICES.bit_length() - 1)).cast("int")), "mix-classes")
+    # rank by hash within (source, length): slices before this one, then inside the slice
+    key = ["__src", "__size", "__slice"]
+    some = c.where("__extra is not null")
+    before = (some.groupBy(*key).agg(F.count("*").alias("__rows"))
+              .withColumn("__before", F.sum("__rows").over(Window.partitionBy("__src", "__size").orderBy("__slice")) - F.col("__rows"))
+              .drop("__rows"))
+    inside = F.row_number().over(Window.partitionBy(*key).orderBy("__h", "__id"))
+    ranked = some.withColumn("__rank", inside).join(before, key)
+    more = ranked.withColumn("__more", (F.col("__before") + F.col("__rank") <= F.col("__extra")).cast("int"))
+    cols = ["__id", "__src", "__size", "__more"]
+    out = more.select(*cols).unionByName(c.where("__extra is null").withColumn("__more", F.lit(0)).select(*cols))
+    copies = (F.col("__whole") + F.col("__more")).cast("int")
+    return (out.join(F.broadcast(per_source), "__src")
             .select(F.col("__id").alias(id_col), F.expr("if(__src = 'n', null, substring(__src, 2))").alias(source),
-                    F.col("__size").alias("size"), "source_size", "target",
-                    F.when(F.col("__size") > 0, copies).otherwise(F.when(F.col("__whole") > 0, 1).otherwise(0)).alias("copies"),
-                    (F.when(F.col("__size") > 0, copies).otherwise(0) * F.col("__size")).cast("long").alias("taken")))
+                    F.col("__size").alias("size"), "source_size", "target", copies.alias("copies"),
+                    (copies * F.col("__size")).cast("long").alias("taken")))
