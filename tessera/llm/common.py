@@ -51,22 +51,34 @@ def width(spark) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def within(df: DataFrame, ids: DataFrame, key: str, bits: int = 23) -> DataFrame:
-    """Rows of ``df`` whose ``key`` may occur in ``ids`` (one column).
+def _marked(df: DataFrame, ids: DataFrame, key: str, bits: int) -> DataFrame:
+    """``df`` with ``__tessera_hit``: whether the key may occur in ``ids`` (one column).
 
     A bitmap of ``2**bits`` hash slots, held in at most ``2**bits / 64`` rows
-    whatever the input, is broadcast, so rows that cannot match are left out
-    before a shuffle.  False positives remain: an exact join has to follow.
+    whatever the input, is broadcast.
     """
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
-    one = F.lit(1).cast("long")
     words = (ids.select(slot(F.col(ids.columns[0])).alias("s"))
-             .groupBy(F.expr("s div 64").alias("__word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("__bits")))
-    out = (df.withColumn("__slot", slot(F.col(key)))
-           .join(F.broadcast(words), F.expr("__slot div 64 = __word"), "inner")
-           .where(F.expr("shiftrightunsigned(__bits, cast(__slot % 64 as int)) & 1L") == one))
-    return out.drop("__slot", "__word", "__bits")
+             .groupBy(F.expr("s div 64").alias("__tessera_word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("__tessera_bits")))
+    out = df.withColumn("__tessera_slot", slot(F.col(key))).join(F.broadcast(words), F.expr("__tessera_slot div 64 = __tessera_word"), "left")
+    hit = F.expr("coalesce(shiftrightunsigned(__tessera_bits, cast(__tessera_slot % 64 as int)) & 1L, 0L) = 1L")
+    return out.withColumn("__tessera_hit", hit).drop("__tessera_slot", "__tessera_word", "__tessera_bits")
+
+
+def within(df: DataFrame, ids: DataFrame, key: str, bits: int = 23) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may occur in ``ids``: rows that cannot match
+    are left out before a shuffle.  False positives remain: an exact join has to follow."""
+    return _marked(df, ids, key, bits).where("__tessera_hit").drop("__tessera_hit")
+
+
+def without(df: DataFrame, ids: DataFrame, key: str, bits: int = 23) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``ids``; only rows that the bitmap
+    cannot clear are shuffled for the exact anti-join."""
+    marked = _marked(df, ids, key, bits)
+    doubt = marked.where("__tessera_hit").drop("__tessera_hit")
+    clear = marked.where("not __tessera_hit").drop("__tessera_hit")
+    return clear.unionByName(doubt.join(ids.toDF("__tessera_gone"), F.col(key) == F.col("__tessera_gone"), "left_anti"))
 
 
 def steps(batches: Iterable[pa.RecordBatch], text: str = "text",

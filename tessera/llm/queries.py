@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import (op1_quality, op3_mix, op4_planes, op5_topk, op6_licenses,
+from tessera.llm import (op1_quality, op2_chains, op3_mix, op4_planes, op5_topk, op6_licenses,
                          op7_suffixes, op8_pieces, op9_jaccard, op10_html)
 from tessera.llm.common import ship
 from tessera.llm.sql import ORACLE  # noqa: F401
@@ -19,6 +19,10 @@ def op1_line_quality(spark, base):
     return op1_quality.quality(_table(spark, base, "documents"))
 
 
+def op2_fuzzy_passages(spark, base):
+    return op2_chains.passages(_table(spark, base, "documents"))
+
+
 def op3_budget_mix(spark, base):
     return op3_mix.mix(_table(spark, base, "documents"))
 
@@ -52,5 +56,5 @@ def op10_main_text(spark, base):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_quality, op3_budget_mix, op4_bit_planes, op5_tiled_topk, op6_license_rules, op7_suffix_dedup,
+    op1_line_quality, op2_fuzzy_passages, op3_budget_mix, op4_bit_planes, op5_tiled_topk, op6_license_rules, op7_suffix_dedup,
     op8_nbest_pieces, op9_ngram_join, op10_main_text)}
