@@ -2,13 +2,13 @@
 
 The library never picks a machine-local folder on a cluster: intermediate
 tables and checkpoints go under ``spark.checkpoint.dir``, which the cluster
-sets to a shared location.  Only when it is unset (local runs, tests) do we
-create one under the system temp folder.
+sets to a shared location.  Only when it is unset on a single-machine master
+(``local[...]``) do we create one under the system temp folder; on any other
+master a missing setting is an error.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,6 +58,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        require_local(sc.master)
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
@@ -65,22 +66,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+def require_local(master: str) -> None:
+    """Raise unless driver and tasks share one machine."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"spark.checkpoint.dir is not set on {master}: name a folder that all machines share")
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain-Python writers can use the path."""
-    return path[len("file:"):] if path.startswith("file:") else path
+_SCRATCH: list[str] = []
 
 
-def ensure_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared checkpoint folder for a written table."""
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
     return path
 
 
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove the scratch tables this application wrote, once their results are
+    no longer read; returns how many there were."""
+    jvm, n = spark._jvm, len(_SCRATCH)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        p.getFileSystem(conf).delete(p, True)
+    return n
+
+
 def materialize(df):
     """Compute ``df`` once and cut its lineage (reliable checkpoint).
 

@@ -15,26 +15,12 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
-_READERS: dict[tuple[str, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One table of a warehouse folder (``<base>/<name>.parquet``).
 
-    The reader (file listing + footer schema) is built once per session and
-    path and reused by every query -- the DataFrame is lazy and immutable, so
-    sharing it is safe.  Call ``refresh()`` after rewriting a table.
+    Every call lists the files anew, so a table that grew is read whole.
     """
-    path = f"{base.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(path)
-    return _READERS[key]
-
-
-def refresh() -> None:
-    """Forget cached readers (new files become visible to the next query)."""
-    _READERS.clear()
+    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
 class Warehouse:
@@ -43,9 +29,13 @@ class Warehouse:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.base, name)
+        """One listing per table and warehouse object (a query builds its own)."""
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, self.base, name)
+        return self._read[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
