@@ -63,5 +63,5 @@ def distinct_count(col: str, approx: bool = False, count_null: bool = False, rsd
     c = F.col(col)
     base = F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
     if count_null:
-        base = base + F.max(F.when(c.isNull(), 1).otherwise(0))
+        base = base + F.coalesce(F.max(F.when(c.isNull(), 1).otherwise(0)), F.lit(0))
     return base

@@ -1,13 +1,9 @@
 """Joins (C1-C14).
 
-Broadcast policy: a side is hinted for broadcast only behind a size check.
-``bounded`` counts at most ``max_rows + 1`` rows of the side (a limit-bounded
-job that stops reading early) and hints the broadcast only when the side is
-within the bound; above it the join is left to the planner, i.e. AQE's
-runtime statistics decide between a broadcast and a shuffle join.  Frames
-whose size follows from parameters (a generated calendar, a level list, a
-bin frame) pass ``known_rows`` and need no check.  Every dimension that grows
-with the data (customer, supplier, part) is never hinted at all.
+Broadcast policy: a side is hinted only if its row bound is known from
+parameters (a generated calendar, a level list, a bin frame).  Every table is
+left to the planner, which broadcasts by the size of its files or, at run
+time, of its shuffle output, so the choice follows the data of each run.
 """
 
 from __future__ import annotations
@@ -19,23 +15,10 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
-_CHECKED: dict[tuple, int] = {}
-
-
-def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Broadcast-hint ``df`` if it holds at most ``max_rows`` rows, else leave it.
-
-    The count is remembered per session and plan (``semanticHash``), so a
-    dimension used by many queries is checked once -- the same horizon as
-    Spark's own cache of file listings.
-    """
-    n = known_rows
-    if n is None:
-        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-        if key not in _CHECKED:
-            _CHECKED[key] = df.limit(max_rows + 1).count()
-        n = _CHECKED[key]
-    return F.broadcast(df) if n <= max_rows else df
+def bounded(df: DataFrame, known_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast-hint ``df``, which holds at most ``known_rows`` rows by
+    construction, if that is within ``max_rows``; else leave it to the planner."""
+    return F.broadcast(df) if known_rows <= max_rows else df
 
 
 @dataclass
@@ -45,9 +28,8 @@ class Link:
     left_key: str | list[str]
     dim_key: str | list[str]
     columns: list[str] = field(default_factory=list)
-    small: bool = False          # try a broadcast, behind the size check of ``bounded``
     how: str = "left"
-    rows: int | None = None      # row bound known from parameters (skips the check)
+    rows: int | None = None      # row bound known from parameters: may be broadcast
 
 
 def enrich(fact: DataFrame, chain: list[Link]) -> DataFrame:
@@ -63,8 +45,8 @@ def enrich(fact: DataFrame, chain: list[Link]) -> DataFrame:
         dk = [link.dim_key] if isinstance(link.dim_key, str) else list(link.dim_key)
         tmp = [f"__k{i}" for i in range(len(dk))]
         dim = link.dim.select(*[F.col(k).alias(t) for k, t in zip(dk, tmp)], *link.columns)
-        if link.small:
-            dim = bounded(dim, known_rows=link.rows)
+        if link.rows is not None:
+            dim = bounded(dim, link.rows)
         cond = None
         for a, b in zip(lk, tmp):
             c = out[a] == dim[b]

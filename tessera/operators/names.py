@@ -13,8 +13,10 @@ def rename_map(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def rename_by_rule(df: DataFrame, old: str, new: str) -> DataFrame:
-    """Replace every occurrence of a literal substring in column names."""
-    return df.toDF(*[c.replace(old, new) for c in df.columns])
+    """Replace every occurrence of a literal substring in column names.  A
+    leading digit of ``old`` has to start a number (``0_`` is not found in ``10_``)."""
+    rx = re.compile(("(?<![0-9])" if old[:1].isdigit() else "") + re.escape(old))
+    return df.toDF(*[rx.sub(lambda _: new, c) for c in df.columns])
 
 
 def drop_by_regex(df: DataFrame, pattern: str) -> DataFrame:

@@ -14,8 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-from tessera.session import materialize as _materialize
-
 
 def _array_paths(dtype: DataType, path: tuple = ()) -> list[tuple]:
     """Schema paths of every array; ``'[]'`` marks a step into array elements."""
@@ -59,10 +57,10 @@ def _leaves(e: Column, dtype: DataType, name: str, path: tuple, sizes: dict, cap
         for f in dtype.fields:
             yield from _leaves(e[f.name], f.dataType, f"{name}{f.name}_", path + (f.name,), sizes, caps)
     elif isinstance(dtype, ArrayType):
-        n = sizes.get(path, 0)
         # "top" = the flattened column is itself an array (names start with
         # the position); every other array is "nested".
         cap = caps.get("top" if len(path) == 1 else "nested")
+        n = sizes.get(path, 0 if cap is None else cap)
         if cap is not None:
             n = min(n, cap)
         for i in range(n):
@@ -75,25 +73,22 @@ def _leaves(e: Column, dtype: DataType, name: str, path: tuple, sizes: dict, cap
 
 
 def flatten(df: DataFrame, cols: list[str], prefix: bool = False,
-            top_positions: int | None = None, nested_positions: int | None = None,
-            materialize: bool = False) -> DataFrame:
+            top_positions: int | None = None, nested_positions: int | None = None) -> DataFrame:
     """``flatten(df, cols_to_flatten) -> df``.
 
     Root columns not in ``cols`` are kept; each listed column is replaced by
     its leaves.  Leaf name = field/position path joined by ``_``; the listed
     column's own name is left out unless ``prefix`` (so ``sales.public.x``
     becomes ``public_x``).  ``top_positions`` / ``nested_positions`` keep only
-    the first positions of top-level / nested arrays (N2), which also bounds
-    the number of output columns.  Repeated output names raise instead of
-    silently dropping every copy (D26).
-
-    ``materialize`` checkpoints ``df`` first (reliable checkpoint in
-    ``spark.checkpoint.dir``) so an expensive input is computed once for the
-    size pass and the projection.
+    the first positions of top-level / nested arrays (N2): the columns then
+    follow from the schema and the caps alone, every kept position is a column
+    (NULL where the array is shorter), and no pass over the data is made.
+    Without a cap for one of the arrays, their sizes are read in one one-row
+    pass.  Repeated output names raise instead of silently dropping every copy
+    (D26).
     """
-    if materialize:
-        df = _materialize(df)
-    sizes = array_sizes(df, cols)
+    capped = top_positions is not None and nested_positions is not None
+    sizes = {} if capped else array_sizes(df, cols)
     caps = {"top": top_positions, "nested": nested_positions}
     out: list[Column] = []
     names: list[str] = []

@@ -2,32 +2,32 @@
 
 ``percentile`` keeps every distinct value of a group in one aggregation
 buffer, so a group holding a third of the data would be sorted by a single
-task.  Here the work is split by value range instead:
+task.  Here the work is split by value range, the same way at every size:
 
-1. one aggregate per group returns ``B-1`` approximate boundaries (a
+1. rows are counted by (group, value) with map-side combine, once
+   (``counted``); everything below reads these pairs;
+2. one aggregate per group returns ``B - 1`` approximate boundaries (a
    mergeable sketch of bounded size) and the row count ``n``;
-2. rows are pre-aggregated to (group, value, weight) and each pair gets the
-   bucket its value falls in -- a local expression, no shuffle by group;
-3. bucket counts (at most ``B`` rows per group) give every bucket's starting
-   rank, so each wanted rank ``floor(q(n-1))`` / ``ceil(q(n-1))`` is located in
-   exactly one bucket;
-4. only those few buckets are ordered (partitioned by group *and* bucket,
-   about ``n/B`` rows each) to read the values at the wanted ranks.
-
-The sketch only decides how evenly the buckets split; the answer is exact,
-with linear interpolation between the two ranks (the ``percentile`` /
-pandas rule).
-
-When the largest group is small (at most ``direct_max_rows`` rows, read as a
-one-row statistic) no task can be overloaded, and Spark's own exact
-``percentile`` aggregate is used instead: same answer, fewer stages.
+3. each pair gets the range its value falls in; counts per range (at most
+   ``B`` per group) give every range's starting rank, so each wanted rank
+   ``floor(q(n-1))`` / ``ceil(q(n-1))`` lies in exactly one range;
+4. only those few ranges are ordered (partitioned by group *and* range) to
+   read the values at the wanted ranks.
+
+Per-group values are attached to the pairs by group *and* a salt taken from
+the value, so a hot group is spread over ``SALTS`` keys.  The sketch only
+decides how evenly the ranges split; the answer is exact, with linear
+interpolation between the two ranks (the ``percentile`` / pandas rule).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tessera.operators.joins import bounded
+from tessera.session import materialize
+
+SALTS = 64
 
 
 def _bucket(bounds, v, lo: int, hi: int):
@@ -39,41 +39,32 @@ def _bucket(bounds, v, lo: int, hi: int):
     return F.when(bounds[mid] < v, _bucket(bounds, v, mid + 1, hi)).otherwise(_bucket(bounds, v, lo, mid))
 
 
-DIRECT_MAX_ROWS = 1_000_000
-
+def counted(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
+    """``by`` columns, ``__v`` (value as double) and ``__w`` (its rows), NULL values left out."""
+    by = list(by or [])
+    base = df.select(*by, F.col(col).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    return materialize(base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__w")))
 
-def largest_group(df: DataFrame, col: str, by: list[str]) -> int:
-    """Rows with a value in the largest group (a one-row statistic)."""
-    sizes = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return int(sizes.agg(F.max("n")).first()[0] or 0)
 
+def attach(pairs: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
+    """Columns of ``per_group`` (one row per group) on the pairs of its group."""
+    if not by:
+        extra = per_group.columns
+        one = per_group.select(F.struct(*extra).alias("__x")).scalar()
+        return pairs.withColumn("__x", one).select(*pairs.columns, *[F.col(f"__x.{c}").alias(c) for c in extra])
+    salted = per_group.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (pairs.withColumn("__s", F.pmod(F.xxhash64("__v"), F.lit(SALTS)).cast("int"))
+            .join(salted, [*by, "__s"]).drop("__s"))
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] | None = None,
-                    buckets: int = 128, out: str = "quantiles",
-                    direct_max_rows: int | None = DIRECT_MAX_ROWS) -> DataFrame:
-    """``by`` columns + ``out`` (array of doubles, one per ``probs``).
 
-    Groups with no non-NULL value are absent from the result.
-    ``direct_max_rows=None`` always takes the range-split path.
-    """
-    by = list(by or [])
-    v = F.col(col).cast("double")
-    base = df.select(*by, v.alias("__v")).filter(F.col("__v").isNotNull())
-    if direct_max_rows is not None and largest_group(base, "__v", by) <= direct_max_rows:
-        pct = F.percentile("__v", F.array(*[F.lit(float(q)) for q in probs])).alias(out)
-        return base.groupBy(*by).agg(pct)
+def quantiles_of(pairs: DataFrame, probs: list[float], by: list[str], buckets: int = 128,
+                 out: str = "quantiles") -> DataFrame:
+    """Quantiles of counted pairs: ``by`` columns + ``out`` (an array of doubles)."""
     cuts = [i / buckets for i in range(1, buckets)]
-    stats = base.groupBy(*by).agg(
-        F.percentile_approx("__v", cuts, 20 * buckets).alias("__bounds"),
-        F.count(F.lit(1)).alias("__n"))
-    freq = base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__w"))
-    if by:
-        freq = freq.join(stats.select(*by, "__bounds"), by)
-    else:
-        freq = freq.withColumn("__bounds", stats.select("__bounds").scalar())
-    freq = freq.select(*by, "__v", "__w",
-                       _bucket(F.col("__bounds"), F.col("__v"), 0, buckets - 1).alias("__k"))
-
+    stats = pairs.groupBy(*by).agg(F.percentile_approx("__v", cuts, 20 * buckets).alias("__bounds"),
+                                   F.sum("__w").alias("__n"))
+    freq = attach(pairs, stats.select(*by, "__bounds"), by)
+    freq = freq.select(*by, "__v", "__w", _bucket(F.col("__bounds"), F.col("__v"), 0, buckets - 1).alias("__k"))
     counts = freq.groupBy(*by, "__k").agg(F.sum("__w").alias("__c"))
     start = Window.partitionBy(*by).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("__before", F.coalesce(F.sum("__c").over(start), F.lit(0)))
@@ -82,16 +73,19 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] |
     want = want.withColumn("__p", F.col("__q") * (F.col("__n") - 1))
     want = want.select(*by, "__qi", "__p",
                        F.explode(F.array(F.floor("__p").cast("bigint"), F.ceil("__p").cast("bigint"))).alias("__rank"))
-    located = (want.join(counts, by) if by else want.withColumn("__one", F.lit(1)).join(
-        bounded(counts.withColumn("__one", F.lit(1)), known_rows=buckets), "__one"))
+    if by:
+        located = want.join(counts, by)
+    else:  # at most ``buckets`` ranges: one array value, read by every wanted rank
+        ranges = counts.agg(F.collect_list(F.struct("__k", "__c", "__before")).alias("r")).scalar()
+        located = want.withColumn("__r", F.explode(ranges)).select(*want.columns, "__r.*")
     located = located.filter((F.col("__rank") >= F.col("__before"))
                              & (F.col("__rank") < F.col("__before") + F.col("__c")))
     located = located.select(*by, "__qi", "__p", "__rank", "__k", "__before")
 
-    wanted_buckets = located.select(*by, "__k").distinct()
-    if not by:  # at most two buckets per probability: a proven bound
-        wanted_buckets = bounded(wanted_buckets, known_rows=2 * len(probs))
-    inside = freq.join(wanted_buckets, [*by, "__k"], "left_semi")
+    wanted = located.select(*by, "__k").distinct()
+    if not by:  # at most two ranges per probability
+        wanted = bounded(wanted, 2 * len(probs))
+    inside = freq.join(wanted, [*by, "__k"], "left_semi")
     run = Window.partitionBy(*by, "__k").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     inside = inside.withColumn("__upto", F.sum("__w").over(run))
     hits = (inside.join(located, [*by, "__k"])
@@ -106,3 +100,18 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] |
     per_q = per_q.select(*by, "__qi", value.alias("__q"))
     return per_q.groupBy(*by).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("__qi", "__q"))), lambda s: s["__q"]).alias(out))
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] | None = None,
+                    buckets: int = 128, out: str = "quantiles") -> DataFrame:
+    """``by`` columns + ``out`` (array of doubles, one per ``probs``).
+
+    Groups with no non-NULL value are absent from the result.
+    """
+    by = list(by or [])
+    return quantiles_of(counted(df, col, by), probs, by, buckets, out)
+
+
+def weighted(when: Column) -> Column:
+    """Rows behind the pairs for which ``when`` holds."""
+    return F.coalesce(F.sum(F.when(when, F.col("__w"))), F.lit(0))

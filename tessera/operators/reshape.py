@@ -86,7 +86,7 @@ def count_levels(df: DataFrame, col: str, levels: list, out: str = "n") -> DataF
     Values outside the levels are not counted (pandas makes them NaN).
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias(out))
-    lv = bounded(level_frame(df.sparkSession, col, levels), known_rows=len(levels))
+    lv = bounded(level_frame(df.sparkSession, col, levels), len(levels))
     return (lv.join(counts, col, "left")
             .select(col, F.coalesce(F.col(out), F.lit(0)).alias(out), F.col(f"{col}_order"))
             .orderBy(f"{col}_order").drop(f"{col}_order"))

@@ -2,7 +2,7 @@
 
 All statistics are aggregates with map-side combine.  Whole-frame values
 (min, max, quartiles) are scalar subqueries planned once; grouped values are
-joined back to the rows on the group key.  Exact quartiles come from
+joined to (group, value) counts by group and salt.  Exact quartiles come from
 ``tessera.operators.quantiles`` (no group is ever gathered into one task);
 ``exact=False`` switches to ``percentile_approx`` (a mergeable sketch).
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.operators.joins import bounded
-from tessera.operators.quantiles import exact_quantiles
+from tessera.operators.quantiles import attach, counted, exact_quantiles, quantiles_of, weighted
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -63,9 +63,10 @@ def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson r for every ordered pair, pairwise-complete rows.
 
     ``r = covar_samp / (std_x * std_y)`` over the rows where both are present;
-    a constant column gives NULL instead of a division error.  One pass.
+    a constant column gives NULL instead of a division error, also with
+    itself.  One pass.
     """
-    exprs, pairs = [], []
+    exprs, pairs = [F.stddev_samp(c).alias(f"{c}|") for c in cols], []
     for i, a in enumerate(cols):
         for b in cols[i + 1:]:
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
@@ -73,14 +74,14 @@ def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
             r = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
             exprs.append(r.alias(f"{a}|{b}"))
             pairs.append((a, b))
-    row = df.agg(*exprs) if exprs else None
+    row = df.agg(*exprs)
     parts = []
     for a, b in pairs:
         val = F.col(f"`{a}|{b}`")
         parts.append(F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), val.alias("r")))
         parts.append(F.struct(F.lit(b).alias("var_x"), F.lit(a).alias("var_y"), val.alias("r")))
     for a in cols:
-        has = F.lit(1.0)  # a variable with itself
+        has = F.when(F.col(f"`{a}|`") > 0, F.lit(1.0))  # a variable with itself
         parts.append(F.struct(F.lit(a).alias("var_x"), F.lit(a).alias("var_y"), has.alias("r")))
     return row.select(F.explode(F.array(*parts)).alias("p")).select("p.*")
 
@@ -112,28 +113,22 @@ def box_stats(df: DataFrame, col: str, by: list[str] | None = None, whis: float
               exact: bool = True) -> DataFrame:
     """Quartiles, whiskers at ``whis`` x IQR clipped to the data, outliers.
 
-    Quartiles per group (pre-aggregated pairs), then one more aggregate over
-    the rows joined with their group's fences.
+    Rows are counted by (group, value) once; quartiles, whiskers and outliers
+    all come from these pairs, and the fences reach them by group and salt.
     """
-    by = by or []
+    by = list(by or [])
+    pairs = counted(df, col, by)
     if exact:
-        q = exact_quantiles(df, col, QUARTILES, by, out="__q")
+        q = quantiles_of(pairs, QUARTILES, by, out="__q")
     else:
         q = df.groupBy(*by).agg(F.percentile_approx(F.col(col), QUARTILES, 10000).alias("__q"))
     q = q.select(*by, F.col("__q")[0].alias("p25"), F.col("__q")[1].alias("p50"), F.col("__q")[2].alias("p75"))
     iqr = F.col("p75") - F.col("p25")
     q = q.select(*by, "p25", "p50", "p75", (F.col("p25") - whis * iqr).alias("lo_fence"),
                  (F.col("p75") + whis * iqr).alias("hi_fence"))
-    v = F.col(col)
-    rows = df.select(*by, col)
-    if by:
-        j = rows.join(q, by, "inner")
-    else:
-        fences = q.select(F.struct("p25", "p50", "p75", "lo_fence", "hi_fence")).scalar()  # one subquery
-        j = rows.withColumn("__f", fences).select(
-            col, *[F.col(f"__f.{c}").alias(c) for c in ["p25", "p50", "p75", "lo_fence", "hi_fence"]])
-    return (j.filter(v.isNotNull()).groupBy(*by, "p25", "p50", "p75", "lo_fence", "hi_fence")
-            .agg(F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_low"),
-                 F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_high"),
-                 F.count_if((v < F.col("lo_fence")) | (v > F.col("hi_fence"))).alias("outliers"),
-                 F.count(v).alias("n")))
+    v, lo, hi = F.col("__v"), F.col("lo_fence"), F.col("hi_fence")
+    return (attach(pairs, q, by).groupBy(*by, "p25", "p50", "p75", "lo_fence", "hi_fence")
+            .agg(F.min(F.when(v >= lo, v)).alias("whisker_low"),
+                 F.max(F.when(v <= hi, v)).alias("whisker_high"),
+                 weighted((v < lo) | (v > hi)).alias("outliers"),
+                 F.sum("__w").alias("n")))

@@ -20,7 +20,7 @@ def test_enrich_chain_keeps_unmatched_and_row_count(spark):
     fact = spark.createDataFrame([(1, 10), (2, 99), (3, None)], "k int, p int")
     prod = spark.createDataFrame([(10, 100)], "p int, sub int")
     sub = spark.createDataFrame([(100, "Bikes")], "sub int, name string")
-    out = enrich(fact, [Link(prod, "p", "p", ["sub"]), Link(sub, "sub", "sub", ["name"], small=True)])
+    out = enrich(fact, [Link(prod, "p", "p", ["sub"]), Link(sub, "sub", "sub", ["name"])])
     assert out.count() == 3
     assert rows(out.select("k", "name")) == [(1, "Bikes"), (2, None), (3, None)]
 
@@ -184,16 +184,71 @@ def test_transpose_small_T11(spark):
     assert got == {"a": (1, 3), "b": (2, 4)}
 
 
-def test_broadcast_only_behind_size_check(spark):
+def test_broadcast_only_behind_a_known_bound(spark):
     from tessera.operators.joins import bounded
-    big, small = spark.range(0, 1000), spark.range(0, 5)
+    dim = spark.range(0, 1000)
     fact = spark.range(0, 100000)
 
     def plan(dim):
         return fact.join(dim, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(bounded(small, max_rows=10)).lower()
-    assert "strategy=broadcast" not in plan(bounded(big, max_rows=10)).lower()
-    assert "broadcast" in plan(bounded(big, max_rows=10, known_rows=3)).lower()
+    assert "strategy=broadcast" in plan(bounded(dim, known_rows=1000)).lower()
+    assert "strategy=broadcast" not in plan(bounded(dim, known_rows=1000, max_rows=10)).lower()
+
+
+def test_missing_checkpoint_folder_raises_off_one_machine():
+    from tessera.session import require_local
+    require_local("local[4]")
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            require_local(master)
+
+
+def test_a_grown_table_is_read_whole(spark, tmp_path):
+    from tessera.sources.tables import read_table
+    path = f"{tmp_path}/part.parquet"
+    spark.range(3).write.parquet(path)
+    assert read_table(spark, str(tmp_path), "part").count() == 3
+    spark.range(7).write.mode("append").parquet(path)
+    assert read_table(spark, str(tmp_path), "part").count() == 10
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    import os
+    from tessera.session import drop_scratch, scratch_path
+    path = scratch_path(spark, "t")
+    spark.range(2).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.exists(local) and drop_scratch(spark) >= 1 and not os.path.exists(local)
+
+
+def test_correlations_of_constant_and_single_columns(spark):
+    from tessera.operators.stats import correlations
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, 5.0)], "x double, c double")
+    got = {(r.var_x, r.var_y): r.r for r in correlations(df, ["x", "c"]).collect()}
+    assert got == {("x", "x"): 1.0, ("c", "c"): None, ("x", "c"): None, ("c", "x"): None}
+    assert [tuple(r) for r in correlations(df, ["x"]).collect()] == [("x", "x", 1.0)]
+
+
+def test_count_null_on_empty_input(spark):
+    from tessera.operators.aggregates import distinct_count
+    df = spark.createDataFrame([], "v int")
+    assert df.agg(distinct_count("v", count_null=True)).first()[0] == 0
+
+
+def test_box_stats_plan_has_no_second_scan_and_splits_hot_groups(spark):
+    from tessera.operators.stats import box_stats
+    rows = [("hot", float(i % 97)) for i in range(4000)] + [("cold", 1.0), ("cold", 9.0), (None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r.g: r for r in box_stats(df, "x", ["g"]).collect()}
+    assert set(got) == {"hot", "cold"} and got["hot"].n == 4000
+    assert (got["cold"].p25, got["cold"].p50, got["cold"].p75, got["cold"].outliers) == (3.0, 5.0, 7.0, 0)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = box_stats(df, "x", ["g"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
 
 
 def test_reshape_with_no_values(spark):
