@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions.dates import in_range
 from tessera.functions.numeric import money
 from tessera.operators.aggregates import top_k
-from tessera.operators.joins import Link, bounded, enrich, semi
+from tessera.operators.joins import Link, enrich, semi
 from tessera.plans.events import events_view, fact_events
 from tessera.sources.tables import Warehouse
 
@@ -41,8 +41,8 @@ def sold_in_year_of_type(spark, base):
 def sum_by_region(spark, base, ascending: bool = True):
     w = Warehouse(spark, base)
     per_nation = w.customer.groupBy("c_nationkey").agg(F.sum(money("c_acctbal")).alias("s"))
-    rows = enrich(per_nation, [Link(w.nation, "c_nationkey", "n_nationkey", ["n_regionkey"], small=True),
-                               Link(w.region, "n_regionkey", "r_regionkey", ["r_name"], small=True)])
+    rows = enrich(per_nation, [Link(w.nation, "c_nationkey", "n_nationkey", ["n_regionkey"]),
+                               Link(w.region, "n_regionkey", "r_regionkey", ["r_name"])])
     out = rows.groupBy(F.col("r_name").alias("region")).agg(F.sum("s").alias("individuals"))
     return out.orderBy(F.col("individuals").asc() if ascending else F.col("individuals").desc(), "region")
 
@@ -53,7 +53,7 @@ def mean_by_date_two_cities(spark, base):
     nations = w.nation.filter(F.col("n_name").isin(*CITIES)).select("n_nationkey", "n_name")
     cust = enrich(semi(w.customer.select("c_custkey", "c_nationkey"),
                        nations.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey"),
-                  [Link(nations, "c_nationkey", "n_nationkey", ["n_name"], small=True)])
+                  [Link(nations, "c_nationkey", "n_nationkey", ["n_name"])])
     o = w.orders.select("o_custkey", "o_orderdate", "o_totalprice").join(
         cust.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey")
     return (o.groupBy(F.col("n_name").alias("city"), F.to_date("o_orderdate").alias("date"))
@@ -69,7 +69,7 @@ def conformed_dimension(spark, base):
     keys = c.select("nation_key").union(s.select("nation_key")).distinct()
     dim = w.nation.select(F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("nation_name"))
     out = (keys.join(c, "nation_key", "left").join(s, "nation_key", "left")
-           .join(bounded(dim), "nation_key", "left"))
+           .join(dim, "nation_key", "left"))
     return out.select("nation_key", "nation_name",
                       F.coalesce("customers", F.lit(0)).alias("customers"),
                       F.coalesce("suppliers", F.lit(0)).alias("suppliers"),

@@ -51,34 +51,26 @@ QUERIES = {
     "cohort_retention_matrix": cohort_retention_matrix,
 }
 
-_ACTIVE = f"""
-active AS (
-  SELECT DISTINCT o_custkey AS subject,
-         CAST(date_trunc('month', o_orderdate) AS DATE) AS retention_month
-  FROM orders
-  WHERE o_orderdate BETWEEN TIMESTAMP '{START} 00:00:00' AND TIMESTAMP '{END} 00:00:00'
+# One pass over distinct (customer, month) pairs; a cohort's size is its count
+# in its own first month.
+_GRID = f"""
+pairs AS (
+  SELECT who, m, MIN(m) OVER (PARTITION BY who) AS m0
+  FROM (SELECT DISTINCT o_custkey AS who, date_trunc('month', o_orderdate)::DATE AS m FROM orders
+        WHERE o_orderdate >= DATE '{START}' AND o_orderdate <= DATE '{END}')
 ),
-first AS (SELECT subject, MIN(retention_month) AS first_month FROM active GROUP BY subject),
-new AS (SELECT first_month, COUNT(subject) AS new_subjects FROM first GROUP BY first_month),
-retained AS (
-  SELECT f.first_month, a.retention_month, COUNT(a.subject) AS retained_subjects
-  FROM active a LEFT JOIN first f ON a.subject = f.subject
-  GROUP BY f.first_month, a.retention_month
-),
-long AS (
-  SELECT n.first_month, r.retention_month, n.new_subjects, r.retained_subjects,
-         CAST(r.retained_subjects * 1.0 / n.new_subjects AS DECIMAL(5,3)) AS retention_rate
-  FROM new n LEFT JOIN retained r ON n.first_month = r.first_month
+grid AS (
+  SELECT m0, m, COUNT(*) AS kept, FIRST(COUNT(*)) OVER (PARTITION BY m0 ORDER BY m) AS joined FROM pairs GROUP BY m0, m
 )"""
+_RATE = "CAST(kept * 1.0 / joined AS DECIMAL(5,3))"
 
-_MATRIX_COLS = ",\n  ".join(
-    f"MAX(CASE WHEN retention_month = DATE '{k}' THEN retention_rate END) AS {n}"
-    for k, n in zip(MONTH_KEYS, MONTH_COLS))
+_MATRIX_COLS = ", ".join(f"ANY_VALUE({_RATE}) FILTER (WHERE m = DATE '{k}') AS {n}" for k, n in zip(MONTH_KEYS, MONTH_COLS))
 
 ORACLE = {
-    "cohort_first_month": f"WITH {_ACTIVE} SELECT subject AS customer_key, first_month FROM first",
-    "cohort_new": f"WITH {_ACTIVE} SELECT * FROM new",
-    "cohort_retained": f"WITH {_ACTIVE} SELECT * FROM retained",
-    "cohort_long": f"WITH {_ACTIVE} SELECT * FROM long",
-    "cohort_retention_matrix": f"WITH {_ACTIVE} SELECT first_month,\n  {_MATRIX_COLS}\nFROM long GROUP BY first_month",
+    "cohort_first_month": f"WITH {_GRID} SELECT who AS customer_key, ANY_VALUE(m0) AS first_month FROM pairs GROUP BY who",
+    "cohort_new": f"WITH {_GRID} SELECT m0 AS first_month, kept AS new_subjects FROM grid WHERE m = m0",
+    "cohort_retained": f"WITH {_GRID} SELECT m0 AS first_month, m AS retention_month, kept AS retained_subjects FROM grid",
+    "cohort_long": f"""WITH {_GRID}
+SELECT m0 AS first_month, m AS retention_month, joined AS new_subjects, kept AS retained_subjects, {_RATE} AS retention_rate FROM grid""",
+    "cohort_retention_matrix": f"WITH {_GRID} SELECT m0 AS first_month, {_MATRIX_COLS} FROM grid GROUP BY m0",
 }

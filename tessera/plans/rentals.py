@@ -224,7 +224,7 @@ def _corr_sql() -> str:
             parts.append(f"SELECT '{a}' AS var_x, '{b}' AS var_y, {r} AS r FROM lineitem")
             parts.append(f"SELECT '{b}' AS var_x, '{a}' AS var_y, {r} AS r FROM lineitem")
     for a in CORR_COLS:
-        parts.append(f"SELECT '{a}' AS var_x, '{a}' AS var_y, 1.0::DOUBLE AS r")
+        parts.append(f"SELECT '{a}' AS var_x, '{a}' AS var_y, CASE WHEN MIN({a}) < MAX({a}) THEN 1.0::DOUBLE END AS r FROM lineitem")
     return "\nUNION ALL ".join(parts)
 
 
