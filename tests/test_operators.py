@@ -119,7 +119,7 @@ def test_dedupe_and_dropna_T4_T5(spark):
 
 def test_name_rules_B4_B7_D26_D27(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`0_min` int, `a_10_x` int, test_col int")
-    assert rename_by_rule(df, "0_", "temp_").columns == ["temp_min", "a_1temp_x", "test_col"]
+    assert rename_by_rule(df, "0_", "temp_").columns == ["temp_min", "a_10_x", "test_col"]
     assert drop_by_regex(df, r"_[1-9][0-9]_|test").columns == ["0_min"]
     out, missing = drop_listed(df, ["test_col", "nope"])
     assert out.columns == ["0_min", "a_10_x"] and missing == ["nope"]
