@@ -22,7 +22,7 @@ from tessera.session import scratch_path
 
 #: Bytes of text that one vectorised step works on inside a task (a longer
 #: text is a step of its own; texts are never cut).
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:

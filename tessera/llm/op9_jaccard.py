@@ -43,7 +43,7 @@ SIZE, PERCENT = 5, 80
 #: Most hot tokens (a broadcast of at most 16 MB), and the least documents of one.
 HOT, HOT_DOCS = 1 << 20, 50
 #: Text bytes within which tokens are counted before counts are sent on.
-COUNTED = 8 << 20
+COUNTED = 4 << 20
 #: Groups up to this size give their pairs themselves.
 SMALL = 16
 #: Members of a large group that one comparison tile holds, per side.
