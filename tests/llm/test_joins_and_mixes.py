@@ -75,11 +75,15 @@ def test_banded_alignment_against_the_full_table():
             h[i + 1, j + 1] = max(0, h[i, j] + (1 if x[i] == y[j] else -1), h[i + 1, j] - 1, h[i, j + 1] - 1)
         return h.max()
 
-    for t in range(30):
+    pairs = []
+    for t in range(60):
         x = rng.integers(0, 4 if t % 2 else 50, rng.integers(1, 40)).astype("<u4")
         y = np.delete(x, rng.integers(0, len(x), 3)) if len(x) > 6 else rng.integers(0, 4, 20).astype("<u4")
-        i, j, k, m, _ = op2_chains.banded(x, y, -60, 60)
-        assert full(x[i:j], y[k:m]) == full(x, y)
+        pairs.append((x, y, -60, 60) if t % 3 else (x, np.append(rng.integers(60, 90, 9), y).astype("<u4"), -75, 40))
+    pairs.append((np.arange(3, dtype="<u4"), np.arange(10, 14, dtype="<u4"), -5, 5))
+    for (x, y, _, _), (i, j, k, m, n) in zip(pairs, op2_chains.banded(pairs)):
+        assert full(x[i:j], y[k:m]) == full(x, y) and n <= min(j - i, m - k)
+        assert not n or (x[i] == y[k] and x[j - 1] == y[m - 1])
 
 
 def test_fuzzy_passages_are_found_and_clean_texts_left(documents):
