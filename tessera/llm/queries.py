@@ -48,7 +48,7 @@ def op8_nbest_pieces(spark, base):
 
 
 def op9_ngram_join(spark, base):
-    return op9_jaccard.components(_table(spark, base, "documents"))
+    return op9_jaccard.components(_table(spark, base, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_main_text(spark, base):
