@@ -132,6 +132,44 @@ def test_hot_seeds_take_the_same_matches(documents, monkeypatch):
     assert {r.doc_id for r in cold} == set(range(1, 40)) and {r.source_id for r in cold} == {0}
 
 
+def test_all_passages_of_a_chain_are_found(documents):
+    rng = random.Random(9)
+    word = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    data, want = [], {}
+    for t, (size, gap, bent) in enumerate(itertools.product((50, 100), (10, 26, 49, 60, 100, 150, 200), (0, 3))):
+        p, q = word(size), word(size)
+        data.append((t, " ".join(word(30) + p + word(gap) + q + word(30))))
+        data.append((1000 + t, " ".join(word(40) + p + word(gap + bent) + q + word(20))))
+        want[1000 + t] = [(40, 40 + size), (40 + size + gap + bent, 40 + 2 * size + gap + bent)]
+    got = {}
+    for r in op2_chains.passages(documents(data)).collect():
+        assert r.identity >= 0.8 and r.n_words >= 40 and r.source_id == r.doc_id - 1000
+        got.setdefault(r.doc_id, []).append((r.start_word, r.end_word))
+    for i, (p, q) in want.items():
+        one = [(p[0], q[1])]  # near passages are one while together they reach the identity
+        size = q[1] - p[0]
+        assert sorted(got[i]) == (one if 2 * (p[1] - p[0]) >= 0.8 * size else [p, q]), (i, size)
+
+
+def test_parts_of_an_alignment_leave_none_out():
+    rng = np.random.default_rng(2)
+    for t in range(300):
+        n, least = int(rng.integers(1, 60)), 12
+        eq = rng.random(n) < rng.choice([0.5, 0.75, 0.9])
+        dx, dy = np.ones(n, int), np.ones(n, int)
+        if t % 2:
+            dx[~eq & (rng.random(n) < 0.4)] = 0
+            dy[~eq & (dx == 1) & (rng.random(n) < 0.4)] = 0
+        got = op2_chains.parts(eq, dx, dy, least, 0.8)
+        size = lambda i, j: max(dx[i:j].sum(), dy[i:j].sum())
+        assert all(size(i, j) >= least and eq[i:j].sum() >= 0.8 * size(i, j) for i, j in got)
+        used = sorted(got)
+        assert all(a[1] <= b[0] for a, b in zip(used, used[1:]))
+        # a run of equal words is never left out whole
+        for i in range(n - least + 1):
+            assert not eq[i:i + least].all() or any(a < i + least and b > i for a, b in got)
+
+
 # ---- 3
 
 def test_targets_fill_to_the_cap():
