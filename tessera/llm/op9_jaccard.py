@@ -46,6 +46,8 @@ HOT, HOT_DOCS = 1 << 20, 50
 COUNTED = 4 << 20
 #: Groups up to this size give their pairs themselves.
 SMALL = 16
+#: Rows of groups whose pairs are formed at once.
+CHUNK = 1 << 14
 #: Members of a large group that one comparison tile holds, per side.
 TILE = 1024
 _STEP = 1.26  # sizes of partners (at most 1.25 : 1) are in the same or neighbouring steps
@@ -171,8 +173,9 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int) -> DataFrame:
-    """(key, id, n, size of the group, its first id): groups of two or more
-    documents that share a signature."""
+    """Of the groups of two or more documents that share a signature: candidate
+    pairs (a, b), and the members (a, null, key, size of the group) of the large ones.
+    Pairs are formed where a bucket's groups are whole."""
     spark = docs.sparkSession
     buckets = width(spark)
     shared = spark.sparkContext.broadcast((hot, rank))
@@ -222,32 +225,36 @@ def groups(docs: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int) ->
         lead = np.repeat(ids[start], size)
         keep = many > 1
         key, ids, n, many, lead = key[keep], ids[keep], n[keep], many[keep], lead[keep]
-        for lo in range(0, len(key), 1 << 16):
-            s = slice(lo, lo + (1 << 16))
-            yield pack_rows(key=key[s].view(np.int64), id=ids[s], n=n[s].astype(np.int64), size=many[s].astype(np.int64), first=lead[s])
+        big, new = many > SMALL, np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        none = lambda x: pa.nulls(x, pa.int64())
+        lo = 0
+        while lo < len(key):  # slices of whole groups (a longer group is a slice of its own)
+            at = int(np.searchsorted(new, lo + CHUNK, "right")) - 1
+            hi = len(key) if lo + CHUNK >= len(key) else int(new[at]) if new[at] > lo else int(new[at + 1]) if at + 1 < len(new) else len(key)
+            s = slice(lo, hi)
+            p = _near(key[s], ids[s], n[s].astype(np.int64), many[s], lead[s], percent)
+            yield pack_rows(a=p[:, 0], b=p[:, 1], key=none(len(p)), size=none(len(p)))
+            for i in range(lo, hi, CHUNK):
+                t = slice(i, min(hi, i + CHUNK))
+                k = int(big[t].sum())
+                yield pack_rows(a=ids[t][big[t]], b=none(k), key=key[t][big[t]].view(np.int64), size=many[t][big[t]].astype(np.int64))
+            lo = hi
 
     sent = docs.mapInArrow(send, "bucket int, keys binary, ids binary, ns binary").repartition(buckets, "bucket")
-    return sent.mapInArrow(meet, "key long, id long, n long, size long, first long")
+    return sent.mapInArrow(meet, "a long, b long, key long, size long")
 
 
-def _near(g: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b), a < b, of the groups: in groups of up to SMALL
+def _near(key: np.ndarray, ids: np.ndarray, n: np.ndarray, size: np.ndarray, first: np.ndarray, percent: int) -> np.ndarray:
+    """Candidate pairs (a, b), a < b, of whole groups, in (key, id) order: in groups of up to SMALL
     members those of compatible size, in larger ones links to the first and the next id."""
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:  # rows of a partition are in (key, id) order; a group cut by a batch is linked over it
-            key, ids, n, size, first = (column(b, c) for c in ("key", "id", "n", "size", "first"))
-            out = []
-            big = size > SMALL
-            out.append(np.stack([first, ids], 1)[big & (first != ids)])
-            for d in range(1, min(SMALL, len(key))):
-                i = np.flatnonzero((key[d:] == key[:-d]) & ((d == 1) | (size[d:] <= SMALL)))
-                lo, hi = np.minimum(n[i], n[i + d]), np.maximum(n[i], n[i + d])
-                i = i[lo * 100 >= hi * percent]
-                out.append(np.stack([ids[i], ids[i + d]], 1))
-            p = np.unique(np.concatenate(out), axis=0)
-            yield pack_rows(a=p[:, 0], b=p[:, 1])
-
-    return g.mapInArrow(task, "a long, b long").distinct()
+    big = size > SMALL
+    out = [np.stack([first, ids], 1)[big & (first != ids)]]
+    for d in range(1, min(SMALL, len(key))):
+        i = np.flatnonzero((key[d:] == key[:-d]) & ((d == 1) | (size[d:] <= SMALL)))
+        lo, hi = np.minimum(n[i], n[i + d]), np.maximum(n[i], n[i + d])
+        i = i[lo * 100 >= hi * percent]
+        out.append(np.stack([ids[i], ids[i + d]], 1))
+    return np.unique(np.concatenate(out), axis=0)
 
 
 def _filtered(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -298,7 +305,7 @@ def _across(g: DataFrame, nodes: DataFrame, component: DataFrame, percent: int)
     """Pairs in different components that size and sketch allow, from large
     groups that still hold more than one component."""
     at = nodes.select("id", "rep", "n", "sketch")
-    big = g.where(F.col("size") > SMALL).select("key", "id", "size")
+    big = g.where("b is null").select("key", F.col("a").alias("id"), "size")
     # representatives of each key; a key with one component left is done
     with_rep = (big.join(at.select("id", "rep"), "id").join(component, F.col("rep") == component["member"], "left")
                 .select("key", "rep", "size", F.coalesce("component", "rep").alias("c")))
@@ -352,7 +359,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", perc
     first = known.groupBy("sig_a", "sig_b", "n").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
     nodes = store(skew_join(known, first, ["sig_a", "sig_b", "n"], "rows").select("id", "rep", "n", "sketch").dropDuplicates(["id"]), "jaccard-nodes")
     g = store(groups(d.where("id is not null"), tokens[order], np.arange(len(tokens))[order], percent), "jaccard-groups")
-    links = store(verify(store(_filtered(_near(g, percent), nodes, percent), "jaccard-pairs"), d, percent), "jaccard-links")
+    links = store(verify(store(_filtered(g.where("b is not null").select("a", "b").distinct(), nodes, percent), "jaccard-pairs"), d, percent), "jaccard-links")
     comp = store(connected(links), "jaccard-components").select(F.col("id").alias("member"), "component")
     more = store(_across(g, nodes, comp, percent), "jaccard-pairs").join(links, ["a", "b"], "left_anti")
     if not more.isEmpty():

@@ -312,6 +312,27 @@ def test_jaccard_components_against_brute_force(documents, monkeypatch, settings
     assert got == brute.components(data)
 
 
+@pytest.mark.parametrize("settings", [{}, {"CHUNK": 1}, {"CHUNK": 7}, {"SMALL": 2, "CHUNK": 3}])
+def test_jaccard_groups_cut_by_batches(spark, documents, monkeypatch, settings):
+    for k, v in settings.items():
+        if hasattr(op9_jaccard, k):
+            monkeypatch.setattr(op9_jaccard, k, v)
+    rng = random.Random(19)
+    w = vocabulary(rng, 3000)
+    data = []
+    for _ in range(40):
+        t = prose(rng, w, 9)
+        data += [(len(data) + i, t + x) for i, x in enumerate([""] + [f" {rng.choice(w)}" for _ in range(rng.randint(1, 4))])]
+    df = documents(data)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in op9_jaccard.components(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == brute.components(data)
+
+
 def test_jaccard_odd_rows(documents):
     got = op9_jaccard.components(documents([*ODD, (8, "same words right here now"), (8, "same words right here now"), (9, "same words right here NOW")])).collect()
     assert len(got) == len(ODD) + 3
