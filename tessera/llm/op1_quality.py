@@ -6,8 +6,10 @@ space, trimmed).  For each (host, line) the distinct documents are counted;
 lines found in more documents of a host than its limit are removed, and a
 document that loses more than a share of its words is rejected.
 
-Shuffles: one row per distinct line of a document (key, host, words), never
-texts.  The count combines on the map side.  Lines so frequent that one key
+``clean`` returns the texts without the removed lines.
+
+Shuffles: one row per distinct line of a document (key, host, words), and for
+``clean`` the texts that may hold a removed line, no others.  The count combines on the map side.  Lines so frequent that one key
 could fill a task (over 1/1000 of all line rows: at most 1000 keys, a proven
 bound) are joined by broadcast, all others by a shuffle join.
 
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.common import store
+from tessera.llm.common import _marked, skew_join, store
 
 GAP = r"[\x20\x09-\x0D]+"
 NO_WORD = r"^[\x20\x09-\x0D]*$"
@@ -75,23 +77,31 @@ def base_rules(docs: DataFrame, text: str = "text", span: int = 5) -> DataFrame:
     return d.withColumn("base_failed", failed).drop("__t", "__w", "__h", "__l", "__g", "__s", "__p")
 
 
-def line_rows(docs: DataFrame, id_col: str, host: str, text: str) -> DataFrame:
+def _norm(line: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(line), GAP, " "))
+
+
+def _host_key(host: str) -> Column:
+    return F.xxhash64(F.col(host), F.col(host).isNull())
+
+
+def line_rows(docs: DataFrame, id_col: str, host: str, text: str, *more: Column) -> DataFrame:
     """One row per line of a document: host key, line key, words, and whether
     the document holds a line twice."""
-    norm = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"),
-                                lambda x: F.trim(F.regexp_replace(F.lower(x), GAP, " "))), lambda x: x != "")
-    one = docs.select(F.col(id_col).alias("__id"), F.xxhash64(F.col(host), F.col(host).isNull()).alias("__hk"), norm.alias("__a"))
+    norm = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), _norm), lambda x: x != "")
+    one = docs.select(F.col(id_col).alias("__id"), _host_key(host).alias("__hk"), norm.alias("__a"), *more)
     one = one.withColumn("__twice", F.size(F.array_distinct("__a")) < F.size("__a"))
-    return (one.select("__id", "__hk", "__twice", F.explode("__a").alias("__x"))
-            .select("__id", "__hk", "__twice", F.xxhash64("__x").alias("__key"),
+    others = [c for c in one.columns if c != "__a"]
+    return (one.select(*others, F.explode("__a").alias("__x"))
+            .select(*others, F.xxhash64("__x").alias("__key"),
                     (F.length("__x") - F.length(F.replace("__x", F.lit(" "), F.lit(""))) + 1).cast("long").alias("__n")))
 
 
-def depleted(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text",
-             min_line_docs: int = MIN_LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
-    """(id, n_removed_lines, removed_words) of documents that hold lines above their host's limit."""
-    rows = store(line_rows(docs, id_col, host, text), "quality-lines")
-    hosts = docs.groupBy(F.xxhash64(F.col(host), F.col(host).isNull()).alias("__hk")).agg(F.count("*").alias("__docs"))
+def removed(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text",
+            min_line_docs: int = MIN_LINE_DOCS, line_share: float = LINE_SHARE, *more: Column) -> DataFrame:
+    """The rows of ``line_rows`` that stand above their host's limit."""
+    rows = store(line_rows(docs, id_col, host, text, *more), "quality-lines")
+    hosts = docs.groupBy(_host_key(host).alias("__hk")).agg(F.count("*").alias("__docs"))
     # (line, document) pairs: only documents that hold a line twice have to be made distinct
     pairs = rows.where(~F.col("__twice")).select("__hk", "__key").unionByName(
         rows.where(F.col("__twice")).select("__hk", "__key", "__id").distinct().select("__hk", "__key"))
@@ -103,19 +113,64 @@ def depleted(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text
     rare = frequent.join(F.broadcast(hot), ["__hk", "__key"], "left_anti").select("__hk", "__key")
     by_hot = rows.join(F.broadcast(hot), ["__hk", "__key"], "left_semi")
     by_rare = rows.join(F.broadcast(hot), ["__hk", "__key"], "left_anti").join(rare, ["__hk", "__key"], "left_semi")
-    return (by_hot.unionByName(by_rare).groupBy(F.col("__id").alias(id_col))
-            .agg(F.count("*").alias("n_removed_lines"), F.sum("__n").alias("removed_words")))
+    return by_hot.unionByName(by_rare)
+
+
+def lost(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, n_removed_lines, removed_words) of the removed lines' documents."""
+    return rows.groupBy(F.col("__id").alias(id_col)).agg(F.count("*").alias("n_removed_lines"), F.sum("__n").alias("removed_words"))
+
+
+def depleted(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text",
+             min_line_docs: int = MIN_LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
+    """(id, n_removed_lines, removed_words) of documents that hold lines above their host's limit."""
+    return lost(removed(docs, id_col, host, text, min_line_docs, line_share), id_col)
+
+
+def _text_key(host: str, text: str) -> list[Column]:
+    return [_host_key(host).alias("__hk"), F.xxhash64(text).alias("__ta"), F.xxhash64(F.lit(1), F.col(text)).alias("__tb")]
+
+
+def clean(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text",
+          min_line_docs: int = MIN_LINE_DOCS, line_share: float = LINE_SHARE, rows: DataFrame | None = None) -> DataFrame:
+    """``docs`` without the lines above their host's limit; the others keep their
+    order and form.  ``rows``: the removed lines, if they are known (``removed_of``).
+
+    What goes depends on host and text alone, so rows meet their removed lines by
+    these: null and repeated ids are cleaned as well.  Only texts that may hold
+    such a line are shuffled.
+    """
+    rows = removed_of(docs, id_col, host, text, min_line_docs, line_share) if rows is None else rows
+    gone = store(rows.groupBy("__hk", "__ta", "__tb").agg(F.collect_set("__key").alias("__gone")), "quality-gone")
+    _, ta, tb = _text_key(host, text)
+    d = _marked(docs.withColumns({"__hk": _host_key(host), "__ta": ta, "__tb": tb}), gone.select("__ta"), "__ta", 23)
+    kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda x: ~F.array_contains(F.col("__gone"), F.xxhash64(_norm(x)))), "\n")
+    doubt = d.where("__tessera_hit").drop("__tessera_hit")
+    size = doubt.groupBy("__hk", "__ta", "__tb").agg(F.count("*").alias("__rows"))
+    keys = ["__hk", "__ta", "__tb"]
+    cut = skew_join(doubt, size.join(gone.select(*keys, "__gone"), keys, "left"), keys, "__rows")
+    cut = cut.withColumn(text, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept))
+    clear = d.where("not __tessera_hit")
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    return clear.select(*cols).unionByName(cut.select(*cols))
+
+
+def removed_of(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text",
+               min_line_docs: int = MIN_LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
+    """``removed`` with the key of each line's text, written: for ``clean`` and ``quality``."""
+    _, ta, tb = _text_key(host, text)
+    return store(removed(docs, id_col, host, text, min_line_docs, line_share, ta, tb), "quality-removed")
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text",
             min_line_docs: int = MIN_LINE_DOCS, line_share: float = LINE_SHARE,
-            max_removed: float = DEPLETED) -> DataFrame:
+            max_removed: float = DEPLETED, rows: DataFrame | None = None) -> DataFrame:
     """Per document: counts, ``base_failed``, the removed lines and words, ``kept``.
 
     Ids are unique.  Other columns of ``docs`` are left out, so none can clash.
     """
     base = base_rules(docs.select(F.col(id_col), F.col(text)), text)
-    lost = depleted(docs, id_col, host, text, min_line_docs, line_share)
+    gone = depleted(docs, id_col, host, text, min_line_docs, line_share) if rows is None else lost(rows, id_col)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
-    d = base.join(lost, id_col, "left").select(*base.columns, zero("n_removed_lines"), zero("removed_words"))
+    d = base.join(gone, id_col, "left").select(*base.columns, zero("n_removed_lines"), zero("removed_words"))
     return d.withColumn("kept", ~F.col("base_failed") & (F.col("removed_words") <= max_removed * F.col("n_words")))

@@ -50,6 +50,25 @@ def test_quality_odd_rows_and_empty_table(documents):
     assert op1_quality.quality(documents([])).count() == 0
 
 
+def test_removed_lines_leave_the_texts(spark, documents):
+    import corpus_pipeline
+    common = "Read  our NEWSLETTER each day"
+    body = lambda i: f"first {i} of its own kind stands here alone\n\n  second {i} line has more words than that one"
+    full = lambda i: f"{common}\n{body(i)}\n read our newsletter each DAY \nlast line {i}\nlast line {i}"
+    data = [(i, full(i), "h") for i in range(50)] + [(None, full(90), "h"), (7, full(91), "h")]
+    data += [(100, full(100), "other"), (101, None, "h"), (102, "", "h"), (103, body(103) + "\n", None)]
+    want = [(i, t if h != "h" or not t else f"{body(t.split()[6])}\nlast line {t.split()[6]}\nlast line {t.split()[6]}") for i, t, h in data]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    df = documents(data)
+    got = op1_quality.clean(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=key) == sorted(want, key=key)
+    kept = corpus_pipeline.keep_quality(spark, df, "").collect()
+    assert len(kept) >= 50 and all("newsletter" not in r.text.lower() for r in kept if r.source == "h")
+    assert all(r.n_chars == len(r.text) for r in kept if r.text is not None)
+    assert op1_quality.clean(documents([])).count() == 0
+
+
 def test_hot_line_is_found_on_both_join_paths(documents):
     data = [(i, f"common line number one\nunique {i} words stand right here for you all", "h") for i in range(60)]
     got = op1_quality.quality(documents(data)).collect()
