@@ -170,6 +170,30 @@ def test_parts_of_an_alignment_leave_none_out():
             assert not eq[i:i + least].all() or any(a < i + least and b > i for a, b in got)
 
 
+@pytest.mark.parametrize("size,share", [(40, 0.2), (50, 0.2), (50, 0.16), (60, 0.2), (60, 0.15), (100, 0.2), (100, 0.15)])
+def test_passages_at_the_identity_are_found(size, share):
+    """Each edited passage against its source: seeds, chains and alignment find it."""
+    rng = np.random.default_rng(size)
+    edits = int(size * share + 1e-9)
+    found, trials = 0, 200
+    for t in range(trials):
+        new = lambda n: rng.integers(0, 1 << 62, n).astype(np.uint64)
+        p = new(size)
+        q = p.copy()
+        # evenly spaced or anywhere inside (an edited end is not part of a passage)
+        at = np.arange(1, edits + 1) * size // (edits + 1) if t % 4 == 0 else 1 + rng.choice(size - 2, edits, replace=False)
+        q[at] = new(edits)
+        x, y = np.concatenate([new(80), p, new(80)]), np.concatenate([new(90), q, new(70)])
+        row, h = np.repeat([0, 1], 160 + size), np.concatenate([x, y])
+        r, pos, key = op2_chains.seeds(row, h, np.array([0, 160 + size]))
+        first = dict(zip(key[r == 0].tolist(), pos[r == 0].tolist()))
+        m = np.array([(b, first[k]) for k, b in zip(key[r == 1].tolist(), pos[r == 1].tolist()) if k in first], np.int64).reshape(-1, 2)
+        c = op2_chains.chains_in_bucket(np.ones(len(m), np.int64), np.zeros(len(m), np.int64), m[:, 0], m[:, 1])
+        spans = [(y.astype("<u4"), x.astype("<u4"), int(d), int(a - b)) for d, a, b in zip(c["drift"], c["d0"], c["s0"])]
+        found += any(min(j, 90 + size) - max(i, 90) >= 0.75 * size for one in op2_chains.align(spans) for i, j, _, _, _ in one)
+    assert found == trials
+
+
 # ---- 3
 
 def test_targets_fill_to_the_cap():
