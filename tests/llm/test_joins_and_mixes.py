@@ -170,6 +170,18 @@ def test_parts_of_an_alignment_leave_none_out():
             assert not eq[i:i + least].all() or any(a < i + least and b > i for a, b in got)
 
 
+def test_passage_whose_seeds_stood_elsewhere_before(documents):
+    rng = random.Random(10)
+    word = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    p = word(60)
+    # earlier documents hold the passage's phrases, each another one
+    data = [(i, " ".join(word(20) + p[6 * i - 3:6 * i + 8] + word(20))) for i in range(1, 10)] + [(0, " ".join(p[:8] + word(30)))]
+    data += [(50, " ".join(word(30) + p + word(10))), (51, " ".join(word(5) + p + word(30))), (52, " ".join(word(9) + p + word(9)))]
+    data += [(60, data[-1][1]), (61, " ".join(word(7) + p + word(9)))]
+    got = {(r.doc_id, r.source_id): (r.start_word, r.end_word) for r in op2_chains.passages(documents(data)).collect()}
+    assert got == {(51, 50): (5, 65), (52, 51): (9, 69), (60, 52): (0, 78), (61, 52): (7, 67)}
+
+
 @pytest.mark.parametrize("size,share", [(40, 0.2), (50, 0.2), (50, 0.16), (60, 0.2), (60, 0.15), (100, 0.2), (100, 0.15)])
 def test_passages_at_the_identity_are_found(size, share):
     """Each edited passage against its source: seeds, chains and alignment find it."""
