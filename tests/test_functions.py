@@ -145,9 +145,9 @@ def test_text_dates_with_blank_and_bad_values_D23(spark):
 
 
 def test_top_list_ignores_null_key_D15(spark):
-    from tessera.plans.titles import _top10
+    from tessera.plans.titles import _per_country, _top10
     df = spark.createDataFrame([("US", "t1"), (None, "t2"), (None, "t3"), ("IN", "t4")], "first_country string, title string")
-    assert [r.first_country for r in _top10(df).collect()] == ["IN", "US"]
+    assert [r.first_country for r in _top10(_per_country(df)).collect()] == ["IN", "US"]
 
 
 def test_replace_view_and_catalog_table_A3_A7(spark):
