@@ -70,4 +70,31 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, least(d.doc_
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id
 """
 
-ORACLE = {"op1_line_quality": _OP1, "op5_tiled_topk": _OP5, "op9_ngram_join": _OP9}
+#: Phrases of 2 to 5 words with their counts; parts and longer phrases by join.
+_OP13 = r"""
+WITH w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang
+), grams AS (
+  SELECT lang, m, w[i:i+m-1] AS g, count(*) AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(w) >= m)
+  GROUP BY ALL HAVING count(*) >= 100
+), inner_ AS (
+  SELECT DISTINCT c.lang, c.g FROM grams c JOIN grams d ON d.lang = c.lang AND d.m = c.m + 1 AND 100 * d.f >= 100 * c.f
+   AND (d.g[1:c.m] = c.g OR d.g[2:c.m+1] = c.g) WHERE c.m > 1
+), cuts AS (
+  SELECT c.lang, c.g, c.f AS a, k, l.f AS l, r.f AS r, t.n, (1000::HUGEINT * c.f * t.n) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM grams WHERE m > 1) c JOIN totals t ON t.lang = c.lang
+  JOIN grams l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN grams r ON r.lang = c.lang AND r.g = c.g[k+1:]
+), best AS (
+  SELECT * FROM cuts WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = cuts.lang AND i.g = cuts.g)
+  QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank,
+       array_to_string(g, ' ') AS phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM best QUALIFY rank <= 2000
+"""
+
+ORACLE = {"op1_line_quality": _OP1, "op5_tiled_topk": _OP5, "op9_ngram_join": _OP9, "op13_stream_phrases": _OP13}
