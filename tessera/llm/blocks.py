@@ -44,6 +44,7 @@ def unsqueeze(raw: bytes, dtype) -> np.ndarray:
 
 def meet(blocks: DataFrame, answers: DataFrame, f: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """Each block with the answers to its rows (both have the column ``block``)."""
+    answers = answers.toDF(*answers.columns)  # both may come from one table: columns of its own
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(f, schema)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.llm import (op1_quality, op2_chains, op3_mix, op4_planes, op5_topk, op6_licenses,
-                         op7_suffixes, op8_pieces, op9_jaccard, op10_html, op12_runs, op13_phrases)
+                         op7_suffixes, op8_pieces, op9_jaccard, op10_html, op11_trees, op12_runs, op13_phrases)
 from tessera.llm.common import ship
 from tessera.llm.sql import ORACLE  # noqa: F401
 
@@ -55,6 +55,10 @@ def op10_main_text(spark, base):
     return op10_html.extract(_table(spark, base, "pages"))
 
 
+def op11_context_trees(spark, base):
+    return op11_trees.score(_table(spark, base, "documents"))
+
+
 def op12_convolved_runs(spark, base):
     return op12_runs.digest(op12_runs.runs(_table(spark, base, "documents"), rewrite=op12_runs.planted))
 
@@ -65,5 +69,5 @@ def op13_stream_phrases(spark, base):
 
 QUERIES = {f.__name__: f for f in (
     op1_line_quality, op2_fuzzy_passages, op3_budget_mix, op4_bit_planes, op5_tiled_topk, op6_license_rules, op7_suffix_dedup,
-    op8_nbest_pieces, op9_ngram_join, op10_main_text, op12_convolved_runs,
+    op8_nbest_pieces, op9_ngram_join, op10_main_text, op11_context_trees, op12_convolved_runs,
     op13_stream_phrases)}
