@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 
 _CODEC = "zstd"
 
@@ -48,7 +48,15 @@ def meet(blocks: DataFrame, answers: DataFrame, f: Callable[[pa.Table, pa.Table]
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(f, schema)
 
 
+def unified(parts: list[pa.DictionaryArray]) -> tuple[np.ndarray, pa.Array]:
+    """One numbering for arrays that were coded one by one: (numbers, the coded values)."""
+    every = pa.chunked_array(parts, parts[0].type).unify_dictionaries()
+    return np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in every.chunks]), every.chunk(0).dictionary
+
+
 def binary_array(data: np.ndarray, start: np.ndarray, end: np.ndarray, taken: np.ndarray) -> pa.Array:
     """The stretches start .. end of ``data`` as an array; ``taken`` marks their bytes."""
     off = np.concatenate([[0], np.cumsum(end - start)])
-    return pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(data[taken])])
+    small = off[-1] < 1 << 31
+    return pa.Array.from_buffers(pa.binary() if small else pa.large_binary(), len(start),
+                                 [None, pa.py_buffer(off.astype(np.int32) if small else off), pa.py_buffer(data[taken])])

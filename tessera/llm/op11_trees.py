@@ -41,7 +41,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tessera.llm.blocks import BLOCK_BYTES, binary_array, block_names, meet
+from tessera.llm.blocks import BLOCK_BYTES, binary_array, block_names, meet, unified
 from tessera.llm.common import LOWER, SPACE, ragged, steps, store, words
 
 #: Bytes of context.  The strings of a block have one byte more; at most 6.
@@ -87,17 +87,16 @@ def _packed(parts: list[pa.RecordBatch]) -> bytes:
 class _Words:
     """The words of a block, coded, and how often each stands in training texts."""
 
-    def __init__(self, parts: list[tuple[pa.Array, np.ndarray]]):
-        coded = pa.concat_arrays([w for w, _ in parts]).dictionary_encode() if parts else pa.array([], pa.large_binary()).dictionary_encode()
-        self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.words = coded.dictionary
-        train = np.concatenate([t for _, t in parts]) if parts else np.empty(0, bool)
-        self.n = np.bincount(self.ids, weights=train, minlength=len(self.words)).astype(np.int64)
+    def __init__(self, parts: list[tuple[pa.DictionaryArray, np.ndarray]]):
+        self.ids, self.words = unified([w for w, _ in parts])
+        train = np.concatenate([t for _, t in parts])
+        self.n = np.bincount(self.ids[train], minlength=len(self.words)).astype(np.int64)
 
 
-def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of the texts, coded, and the text of each."""
     start, end, row = words(data, off)
-    return binary_array(data, start, end, ~SPACE[data]), row
+    return binary_array(data, start, end, ~SPACE[data]).cast(pa.binary()).dictionary_encode(), row
 
 
 def _blocks(depth: int):
@@ -105,7 +104,7 @@ def _blocks(depth: int):
         gram, n = _sum_by_key([g for g, _ in grams], [c for _, c in grams])
         w = _Words(said)
         held = np.concatenate([d.column(2).to_numpy(zero_copy_only=False) for d in docs])
-        for field, keys, c in (("gram", pa.array(gram), n), ("word", w.words.cast(pa.binary()), w.n)):
+        for field, keys, c in (("gram", pa.array(gram), n), ("word", w.words, w.n)):
             cols = {"block": pa.array(np.full(len(keys), block)), field: keys, "n": pa.array(c)}
             yield pa.RecordBatch.from_arrays([cols.get(f.name, pa.nulls(len(keys), f.type)) for f in _BLOCK], schema=_BLOCK)
         yield pa.RecordBatch.from_pylist([{"block": block, "docs": _packed(docs), "tokens": int(w.n.sum()), "ends": int((~held).sum())}], _BLOCK)
@@ -237,7 +236,7 @@ def _scores(depth: int, tokens: int, distinct: int):
         c = w.n
         if len(told):
             c = c.copy()
-            at = pc.index_in(told["word"].combine_chunks().cast(pa.large_binary()), value_set=w.words).to_numpy(zero_copy_only=False)
+            at = pc.index_in(told["word"].combine_chunks(), value_set=w.words).to_numpy(zero_copy_only=False)
             c[at.astype(np.int64)] = told["count"].to_numpy()
         base = np.log10((c + 1) / bottom)
         ends = block["all_ends"][0].as_py()

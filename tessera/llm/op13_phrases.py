@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tessera.llm.blocks import BLOCK_BYTES, binary_array, block_names, meet, squeeze, unsqueeze
+from tessera.llm.blocks import BLOCK_BYTES, binary_array, block_names, meet, squeeze, unified, unsqueeze
 from tessera.llm.common import LOWER, byte_set, steps, store, width, words
 
 #: Bytes that end a piece; blank and tab only part words.
@@ -50,8 +50,8 @@ GAPS = STOPS | byte_set(b" \t")
 UNKNOWN = "und"
 
 
-def _pieces(data: np.ndarray, off: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """The words of the texts and whether each is the first of its piece."""
+def _pieces(data: np.ndarray, off: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of the texts, coded, and whether each is the first of its piece."""
     data = LOWER[data]
     start, end, row = words(data, off, GAPS)
     stops = np.cumsum(STOPS[data])
@@ -59,7 +59,7 @@ def _pieces(data: np.ndarray, off: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     if len(start):
         at = stops[start]
         first[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
-    return binary_array(data, start, end, ~GAPS[data]), first
+    return binary_array(data, start, end, ~GAPS[data]).cast(pa.binary()).dictionary_encode(), first
 
 
 _BLOCK = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("word", pa.binary()), ("place", pa.int32()), ("n", pa.int64()),
@@ -71,9 +71,7 @@ def _flush(block: int, held: dict[str, list]) -> Iterator[pa.RecordBatch]:
     """One row per distinct (language, word) of the block and one row with its sequence of words."""
     bounds, seq = [0], []
     for lang, parts in held.items():
-        coded = pa.concat_arrays([w for w, _ in parts]).dictionary_encode()
-        ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-        found = coded.dictionary.cast(pa.binary())
+        ids, found = unified([w for w, _ in parts])
         n, k = np.bincount(ids, minlength=len(found)).astype(np.int64), len(found)
         seq.append((ids + bounds[-1]) * 2 + np.concatenate([f for _, f in parts]))
         place = np.arange(bounds[-1], bounds[-1] + k, dtype=np.int32)
@@ -108,8 +106,8 @@ def _known(block: pa.Table, answers: pa.Table) -> tuple[np.ndarray, np.ndarray,
     word goes on a piece, and the answers' keys and counts, by place."""
     ids = unsqueeze(block["ids"][0].as_py(), np.int32)
     rows = answers.filter(answers["place"].is_valid()).sort_by("place")
-    number = np.full(block["bounds"][0].as_py()[-1], -1, np.int64)
-    number[rows["place"].to_numpy()] = np.arange(len(rows))
+    number = np.full(block["bounds"][0].as_py()[-1], -1, np.int32)
+    number[rows["place"].to_numpy()] = np.arange(len(rows), dtype=np.int32)
     return number[ids >> 1], (ids & 1) == 0, rows["key"].to_numpy(), rows["count"].to_numpy()
 
 
@@ -121,7 +119,7 @@ def _pairs(block: pa.Table, answers: pa.Table) -> pa.Table:
     x, on, key, _ = _known(block, answers)
     a, b = x[:-1], x[1:]
     good = (a >= 0) & (b >= 0) & on[1:]
-    pair, n = np.unique(a[good] * len(key) + b[good], return_counts=True)
+    pair, n = np.unique(a[good].astype(np.int64) * len(key) + b[good], return_counts=True)
     return pa.table({"block": np.full(len(pair), block["block"][0].as_py()), "g1": key[pair // len(key)], "g2": key[pair % len(key)], "n": n.astype(np.int64)})
 
 
@@ -138,9 +136,12 @@ def _phrases(most: int):
         order = np.argsort(key)
         rank = lambda g: order[np.searchsorted(key[order], g)]
         known = np.sort(rank(pairs["key"].to_numpy()) * len(key) + rank(pairs["g2"].to_numpy()))
-        pair = x[:-1] * len(key) + x[1:]
-        at = np.minimum(np.searchsorted(known, pair), max(0, len(known) - 1))
-        good = (x[:-1] >= 0) & (x[1:] >= 0) & on[1:] & (known[at] == pair if len(known) else False)
+        if not len(known):
+            return schema.empty_table()
+        good = (x[:-1] >= 0) & (x[1:] >= 0) & on[1:]
+        maybe = np.flatnonzero(good)
+        pair = x[maybe].astype(np.int64) * len(key) + x[maybe + 1]
+        good[maybe] = known[np.minimum(np.searchsorted(known, pair), len(known) - 1)] == pair
         langs, bounds = block["langs"][0].as_py(), np.array(block["bounds"][0].as_py())
         place = np.sort(answers["place"].drop_null().to_numpy())
         lang_of = np.searchsorted(bounds, place, "right") - 1
@@ -149,7 +150,7 @@ def _phrases(most: int):
             if m > 2:  # one more frequent pair has to follow
                 start = start[start + m - 2 < len(good)]
                 start = start[good[start + m - 2]]
-            got = pa.table({f"{i}": x[start + i].astype(np.int32) for i in range(m)})
+            got = pa.table({f"{i}": x[start + i] for i in range(m)})
             got = got.group_by([f"{i}" for i in range(m)]).aggregate([([], "count_all")])
             w = [got[f"{i}"].to_numpy() for i in range(m)]
             k = len(got)
@@ -162,7 +163,7 @@ def _phrases(most: int):
 
 
 def counts(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = 100, most: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(words, totals, phrases): frequent words (lang, word, key, count), words per
+    """(words, totals, phrases): frequent words (key, word), words per
     language (lang, n) and phrases (lang, keys g1 .. g<most> with -1 behind the
     last word, size, counts of first and last word, a)."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
@@ -170,11 +171,14 @@ def counts(docs: DataFrame, lang: str = "lang", text: str = "text", least: int =
     asked = base.where("word is not null").select("block", "lang", "word", "place", "n")
     texts = base.where("ids is not null").select("block", "langs", "bounds", "ids")
     totals = asked.groupBy("lang").agg(F.sum("n").alias("n"))
-    frequent = asked.groupBy("lang", "word").agg(F.sum("n").alias("count")).where(F.col("count") >= least)
-    # keys in the words' order, no two alike, fixed by the written table
-    found = store(frequent.repartitionByRange(width(docs.sparkSession), "lang", "word").sortWithinPartitions("lang", "word")
-                  .withColumn("key", F.monotonically_increasing_id()), "phrase-words")
-    known = store(asked.select("block", "lang", "word", "place").join(found, ["lang", "word"]).select("block", "place", "key", "count"), "phrase-known")
+    # one shuffle: every block's row of a word gets the word's count and key (one of its rows' numbers; the
+    # numbers differ between rows and the written table keeps them); the word itself stays in one row
+    word = Window.partitionBy("lang", "word").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    asked = (asked.withColumn("row", F.monotonically_increasing_id()).withColumn("count", F.sum("n").over(word))
+             .withColumn("key", F.first("row").over(word)).where(F.col("count") >= least))
+    known = store(asked.select("block", "place", "key", "count", F.expr("if(key = row, word, null)").alias("word")), "phrase-known")
+    found = known.where("word is not null").select("key", "word")
+    known = known.drop("word")
     pairs = meet(texts, known, _pairs, "block long, g1 long, g2 long, n long")
     pairs = (pairs.withColumn("all", F.sum("n").over(Window.partitionBy("g1", "g2"))).where(F.col("all") >= least)
              .select("block", F.lit(None).cast("int").alias("place"), F.col("g1").alias("key"), F.lit(None).cast("long").alias("count"), "g2"))
