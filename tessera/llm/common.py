@@ -105,6 +105,30 @@ def steps(batches: Iterable[pa.RecordBatch], text: str = "text",
             lo = hi
 
 
+def whole_groups(batches: Iterable[pa.RecordBatch], key: str, rows: int = 1) -> Iterator[list[pa.RecordBatch]]:
+    """Batches sorted by ``key`` put together to ``rows`` rows or more, cut only
+    where the key changes (with ``rows`` 1: one group after another)."""
+    held, n = [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = column(b, key)
+        starts = np.flatnonzero(k[1:] != k[:-1]) + 1
+        if held and column(held[-1], key)[-1] != k[0]:
+            starts = np.r_[0, starts]
+        lo = 0
+        for i in starts.tolist():
+            if n + i - lo >= rows:
+                if i > lo:
+                    held.append(b.slice(lo, i - lo))
+                yield held
+                held, n, lo = [], 0, i
+        held.append(b.slice(lo))
+        n += b.num_rows - lo
+    if held:
+        yield held
+
+
 def column(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
 
