@@ -201,11 +201,35 @@ def test_passages_at_the_identity_are_found(size, share):
         first = dict(zip(key[r == 0].tolist(), pos[r == 0].tolist()))
         m = np.array([(b, first[k]) for k, b in zip(key[r == 1].tolist(), pos[r == 1].tolist()) if k in first], np.int64).reshape(-1, 2)
         c = op2_chains.chains_in_bucket(np.ones(len(m), np.int64), np.zeros(len(m), np.int64), m[:, 0], m[:, 1])
-        spans = [(y.astype("<u4"), x.astype("<u4"), int(d), int(a - b)) for d, a, b in zip(c["drift"], c["d0"], c["s0"])]
+        spans = [(y.astype("<u4"), x.astype("<u4"), int(d), int(a - b), int(a), int(z) + 3) for d, a, z, b in zip(c["drift"], c["d0"], c["d1"], c["s0"])]
         found += any(min(j, 90 + size) - max(i, 90) >= 0.75 * size for one in op2_chains.align(spans) for i, j, _, _, _ in one)
     assert found == trials
 
 
+@pytest.mark.parametrize("size", [40, 50, 60, 100, 200])
+@pytest.mark.parametrize("kind", ["replaced", "left out", "put in", "one out one in", "mixed"])
+def test_edited_passages_are_found_end_to_end(documents, size, kind):
+    """Random passages with 4 % to 12 % of their words edited, each kind of edit for itself and all together."""
+    rng = random.Random(f"{size}{kind}")
+    word = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    data, trials = [], 60
+    for t in range(trials):
+        p = word(size)
+        q, n = list(p), max(2, int(size * rng.choice([0.04, 0.08, 0.12])))
+        if kind == "one out one in":
+            a, b = sorted(rng.sample(range(3, size - 3), 2))
+            q = p[:a] + p[a + 1:b] + word(1) + p[b:] if t % 2 else p[:a] + word(1) + p[a:b] + p[b + 1:]
+        else:
+            for at in sorted(rng.sample(range(1, size - 1), n), reverse=True):
+                what = rng.choice(["replaced", "left out", "put in"]) if kind == "mixed" else kind
+                q[at:at + (what != "put in")] = [] if what == "left out" else word(1)
+        data += [(t, " ".join(word(30) + p + word(30))), (1000 + t, " ".join(word(20) + q + word(20)))]
+    # a passage that edits cut under MIN_WORDS words is none
+    sure = {1000 + t for t in range(trials) if len(data[2 * t + 1][1].split()) - 40 >= op2_chains.MIN_WORDS + 2}
+    got = {r.doc_id for r in op2_chains.passages(documents(data)).collect()}
+    assert len(got & sure) >= 0.95 * len(sure), (len(got & sure), len(sure))
+
+
 # ---- 3
 
 def test_targets_fill_to_the_cap():
