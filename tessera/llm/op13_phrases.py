@@ -7,9 +7,12 @@ where that is lowest.
 
 Counting goes by length, so that what is rare is left out before it is sent:
 blocks of text (``blocks``) ask which of their words are frequent, then which
-pairs of these are, and only stretches whose every pair is frequent are counted
-as longer phrases.  A phrase that occurs ``least`` times has no rarer part, so
-nothing is lost.  Every step sends one row per block and distinct key.
+pairs of these are, and from every word on the stretch of up to ``most`` words
+whose every pair is frequent is counted.  A phrase that occurs ``least`` times
+has no rarer part, so nothing is lost.  Every step sends one row per block and
+distinct key.  Sorted, these stretches are one stream that gives the counts of
+all longer phrases in one reading: those with a common prefix stand together
+(``prefix_counts``).
 
 The counts are then kept as two streams: in prefix order (sorted by first
 word, second word, ...) and in suffix order (by last word, the one before it,
@@ -123,47 +126,72 @@ def _pairs(block: pa.Table, answers: pa.Table) -> pa.Table:
     return pa.table({"block": np.full(len(pair), block["block"][0].as_py()), "g1": key[pair // len(key)], "g2": key[pair % len(key)], "n": n.astype(np.int64)})
 
 
-def _phrases(most: int):
-    schema = pa.schema([("lang", pa.string()), *[(f"g{i + 1}", pa.int64()) for i in range(most)], ("size", pa.int32()),
-                        ("first", pa.int64()), ("last", pa.int64()), ("n", pa.int64())])
+def _windows(most: int):
+    schema = pa.schema([*[(f"g{i + 1}", pa.int64()) for i in range(most)], ("n", pa.int64())])
 
     def count(block: pa.Table, answers: pa.Table) -> pa.Table:
-        """Distinct phrases of 2 to ``most`` words whose pairs are all frequent, counted."""
-        if not len(block) or not len(answers):
-            return schema.empty_table()
-        x, on, key, f = _known(block, answers)
+        """Distinct stretches of 3 to ``most`` words, counted: from every word on as
+        far as all pairs are frequent."""
         pairs = answers.filter(answers["g2"].is_valid())
+        if not len(block) or not len(pairs):
+            return schema.empty_table()
+        x, on, key, _ = _known(block, answers)
         order = np.argsort(key)
         rank = lambda g: order[np.searchsorted(key[order], g)]
         known = np.sort(rank(pairs["key"].to_numpy()) * len(key) + rank(pairs["g2"].to_numpy()))
-        if not len(known):
-            return schema.empty_table()
         good = (x[:-1] >= 0) & (x[1:] >= 0) & on[1:]
         maybe = np.flatnonzero(good)
         pair = x[maybe].astype(np.int64) * len(key) + x[maybe + 1]
         good[maybe] = known[np.minimum(np.searchsorted(known, pair), len(known) - 1)] == pair
-        langs, bounds = block["langs"][0].as_py(), np.array(block["bounds"][0].as_py())
-        place = np.sort(answers["place"].drop_null().to_numpy())
-        lang_of = np.searchsorted(bounds, place, "right") - 1
-        out, start = [], np.flatnonzero(good)
-        for m in range(2, most + 1):
-            if m > 2:  # one more frequent pair has to follow
-                start = start[start + m - 2 < len(good)]
-                start = start[good[start + m - 2]]
-            got = pa.table({f"{i}": x[start + i] for i in range(m)})
-            got = got.group_by([f"{i}" for i in range(m)]).aggregate([([], "count_all")])
-            w = [got[f"{i}"].to_numpy() for i in range(m)]
-            k = len(got)
-            out.append(pa.table([pa.DictionaryArray.from_arrays(pa.array(lang_of[w[0]], pa.int32()), pa.array(langs, pa.string())).cast(pa.string()),
-                                 *[key[w[i]] if i < m else np.full(k, -1) for i in range(most)], np.full(k, m, np.int32),
-                                 f[w[0]], f[w[-1]], got["count_all"].to_numpy()], schema=schema))
+        good = np.concatenate([good, np.zeros(most, bool)])
+        start, out = np.flatnonzero(good), []
+        for m in range(3, most + 1):
+            start = start[good[start + m - 2]]
+            mine = start if m == most else start[~good[start + m - 1]]  # that end here
+            got = pa.table({f"{i}": x[mine + i] for i in range(m)}).group_by([f"{i}" for i in range(m)]).aggregate([([], "count_all")])
+            out.append(pa.table([*[key[got[f"{i}"].to_numpy()] if i < m else np.full(len(got), -1) for i in range(most)], got["count_all"].to_numpy()],
+                                schema=schema))
         return pa.concat_tables(out)
 
-    return count, ", ".join(["lang string", *[f"g{i + 1} long" for i in range(most)], "size int, first long, last long, n long"])
+    return count, ", ".join([*[f"g{i + 1} long" for i in range(most)], "n long"])
+
+
+def prefix_counts(batches: Iterable[pa.RecordBatch], most: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Read a sorted stream of stretches (keys g1 .. g<most>, -1 behind the last
+    word, n) once: the phrases of 3 words or more that they begin with and that
+    occur ``least`` times, with their size and count ``a``.
+
+    Stretches with one prefix stand together; the last group of each size stays
+    open until the next batch.
+    """
+    open_: dict[int, tuple[np.ndarray, int]] = {}
+
+    def made(keys: np.ndarray, a: np.ndarray, m: int) -> pa.RecordBatch:
+        enough = a >= least
+        cols = [keys[enough, i] if i < m else np.full(int(enough.sum()), -1) for i in range(most)]
+        return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(np.full(int(enough.sum()), m, np.int32)), pa.array(a[enough])],
+                                          [*[f"g{i + 1}" for i in range(most)], "size", "a"])
+
+    for b in batches:
+        every = np.stack([b.column(i).to_numpy() for i in range(most)], 1)
+        n = b.column(most).to_numpy()
+        for m in range(3, most + 1):
+            here = every[:, m - 1] >= 0
+            k, c = every[here, :m], n[here]
+            if m in open_:
+                k, c = np.concatenate([open_[m][0][None], k]), np.concatenate([[open_[m][1]], c])
+            if not len(k):
+                continue
+            first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(1)])
+            a = np.add.reduceat(c, first)
+            open_[m] = k[first[-1]], int(a[-1])
+            yield made(k[first[:-1]], a[:-1], m)
+    for m, (k, a) in open_.items():
+        yield made(k[None], np.array([a]), m)
 
 
 def counts(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = 100, most: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(words, totals, phrases): frequent words (key, word), words per
+    """(words, totals, phrases): frequent words (lang, word, key, count), words per
     language (lang, n) and phrases (lang, keys g1 .. g<most> with -1 behind the
     last word, size, counts of first and last word, a)."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
@@ -173,22 +201,28 @@ def counts(docs: DataFrame, lang: str = "lang", text: str = "text", least: int =
     totals = asked.groupBy("lang").agg(F.sum("n").alias("n"))
     # one shuffle: every block's row of a word gets the word's count and key (one of its rows' numbers; the
     # numbers differ between rows and the written table keeps them); the word itself stays in one row
-    word = Window.partitionBy("lang", "word").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    asked = (asked.withColumn("row", F.monotonically_increasing_id()).withColumn("count", F.sum("n").over(word))
-             .withColumn("key", F.first("row").over(word)).where(F.col("count") >= least))
-    known = store(asked.select("block", "place", "key", "count", F.expr("if(key = row, word, null)").alias("word")), "phrase-known")
-    found = known.where("word is not null").select("key", "word")
-    known = known.drop("word")
+    whole = lambda *c: Window.partitionBy(*c).orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    asked = (asked.withColumn("row", F.monotonically_increasing_id()).withColumn("count", F.sum("n").over(whole("lang", "word")))
+             .withColumn("key", F.first("row").over(whole("lang", "word"))).where(F.col("count") >= least))
+    once = lambda c: F.expr(f"if(key = row, {c}, null)").alias(c)
+    known = store(asked.select("block", "place", "key", "count", once("lang"), once("word")), "phrase-known")
+    found = known.where("word is not null").select("lang", "word", "key", "count")
+    known = known.select("block", "place", "key", "count")
     pairs = meet(texts, known, _pairs, "block long, g1 long, g2 long, n long")
-    pairs = (pairs.withColumn("all", F.sum("n").over(Window.partitionBy("g1", "g2"))).where(F.col("all") >= least)
-             .select("block", F.lit(None).cast("int").alias("place"), F.col("g1").alias("key"), F.lit(None).cast("long").alias("count"), "g2"))
-    answers = known.withColumn("g2", F.lit(None).cast("long")).unionByName(store(pairs, "phrase-pairs"))
-    count, schema = _phrases(most)
+    pairs = store(pairs.withColumn("all", F.sum("n").over(whole("g1", "g2"))).withColumn("head", F.first("block").over(whole("g1", "g2")) == F.col("block"))
+                  .where(F.col("all") >= least).drop("n"), "phrase-pairs")
+    none = F.lit(None)
+    answers = known.withColumn("g2", none.cast("long")).unionByName(
+        pairs.select("block", none.cast("int").alias("place"), F.col("g1").alias("key"), none.cast("long").alias("count"), "g2"))
+    count, schema = _windows(most)
     keys = [f"g{i + 1}" for i in range(most)]
-    phrases = (meet(texts, answers, count, schema).groupBy("lang", *keys)
-               .agg(F.max("size").alias("size"), F.max("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("a"))
-               .where(F.col("a") >= least))
-    return found, totals, store(phrases, "phrase-counts")
+    longer = (store(meet(texts, answers, count, schema), "phrase-windows").repartitionByRange(width(docs.sparkSession), *keys[:3])
+              .sortWithinPartitions(*keys).mapInArrow(lambda it: prefix_counts(it, most, least), ", ".join([*[f"{k} long" for k in keys], "size int, a long"])))
+    two = pairs.where("head").select("g1", "g2", *[F.lit(-1).cast("long").alias(k) for k in keys[2:]], F.lit(2).alias("size"), F.col("all").alias("a"))
+    phrases = (two.unionByName(longer).withColumn("last", F.element_at(F.array(*keys), F.col("size")))
+               .join(found.select("lang", F.col("key").alias("g1"), F.col("count").alias("__first")), "g1")
+               .join(found.select(F.col("key").alias("last"), F.col("count").alias("__last")), "last"))
+    return found, totals, store(phrases.select("lang", *keys, "size", F.col("__first").alias("first"), F.col("__last").alias("last"), "a"), "phrase-counts")
 
 
 def annotate(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
