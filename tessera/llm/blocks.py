@@ -20,9 +20,18 @@ from pyspark.sql import DataFrame
 #: Bytes of text in a block.
 BLOCK_BYTES = 16 << 20
 
+#: Bytes of text that one vectorised step of a block works on.
+STEP_BYTES = 1 << 20
+
 _CODEC = "zstd"
 
 
+def lean() -> None:
+    """Give freed Arrow memory back to the system: a worker holds a block beside
+    the executor's heap, and lives on between tasks."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def block_names() -> Iterable[int]:
     """Names for the blocks of the running task: no two tasks' are equal."""
     name = TaskContext.get().partitionId() << 32
@@ -44,8 +53,12 @@ def unsqueeze(raw: bytes, dtype) -> np.ndarray:
 
 def meet(blocks: DataFrame, answers: DataFrame, f: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """Each block with the answers to its rows (both have the column ``block``)."""
+    def met(block: pa.Table, asked: pa.Table) -> pa.Table:
+        lean()
+        return f(block, asked)
+
     answers = answers.toDF(*answers.columns)  # both may come from one table: columns of its own
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(f, schema)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(met, schema)
 
 
 def unified(parts: list[pa.DictionaryArray]) -> tuple[np.ndarray, pa.Array]:

@@ -41,7 +41,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tessera.llm.blocks import BLOCK_BYTES, binary_array, block_names, meet, unified
+from tessera.llm.blocks import BLOCK_BYTES, STEP_BYTES, binary_array, block_names, lean, meet, unified
 from tessera.llm.common import LOWER, SPACE, ragged, steps, store, words
 
 #: Bytes of context.  The strings of a block have one byte more; at most 6.
@@ -110,8 +110,9 @@ def _blocks(depth: int):
         yield pa.RecordBatch.from_pylist([{"block": block, "docs": _packed(docs), "tokens": int(w.n.sum()), "ends": int((~held).sum())}], _BLOCK)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         names, docs, grams, said, size = iter(block_names()), [], [], [], 0
-        for b, data, off in steps(batches):
+        for b, data, off in steps(batches, budget=STEP_BYTES):
             low, held = LOWER[data], b.column(2).to_numpy(zero_copy_only=False)
             g, lengths = strings(low, off, depth), np.diff(off) + 1
             mine = np.repeat(~held, lengths)
@@ -219,11 +220,14 @@ def _scores(depth: int, tokens: int, distinct: int):
     bottom = tokens + distinct + 1
 
     def score(block: pa.Table, answers: pa.Table) -> pa.Table:
-        grams = answers.filter(answers["gram"].is_valid()).sort_by("gram")
+        told = answers.select(["word", "count"]).filter(answers["word"].is_valid())
+        grams = answers.select(["gram", "value"]).filter(answers["gram"].is_valid())
+        del answers
         gram, log_p = grams["gram"].to_numpy(), grams["value"].to_numpy()
-        told = answers.filter(answers["word"].is_valid())
+        order = np.argsort(gram)
+        gram, log_p = gram[order], log_p[order]
         parts, said, rows, char_score = [], [], [], []
-        for b, data, off in steps(pa.ipc.open_stream(pa.py_buffer(block["docs"][0].as_py()))):
+        for b, data, off in steps(pa.ipc.open_stream(block["docs"][0].as_buffer()), budget=STEP_BYTES):
             low, held = LOWER[data], b.column(2).to_numpy(zero_copy_only=False)
             size = np.diff(off) + 1
             p = log_p[np.searchsorted(gram, strings(low, off, depth))]
@@ -268,10 +272,12 @@ def score(docs: DataFrame, held: Column | None = None, id_col: str = "doc_id", t
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.coalesce(held, F.lit(False)).alias("held"))
     base = store(rows.mapInArrow(_blocks(depth), _BLOCK_SQL), "tree-blocks")
     by_word = Window.partitionBy("word").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    said = store(base.where("word is not null").select("block", "word", "n")
-                 .withColumn("count", F.sum("n").over(by_word)).withColumn("head", F.first("block").over(by_word) == F.col("block"))
-                 .where("head or count <> n"), "tree-words")
-    distinct = said.where("head and count > 0").count()
+    # rows: what a block has to be told, and one (without a word, if there is nothing to tell) per distinct training word
+    told = lambda c: F.expr(f"if(count <> n, {c}, null)").alias(c)
+    said = store(base.where("word is not null").select("block", "word", "n").withColumn("count", F.sum("n").over(by_word))
+                 .withColumn("fresh", (F.first("block").over(by_word) == F.col("block")) & (F.col("count") > 0))
+                 .where("fresh or count <> n").select(told("block"), told("word"), told("count"), "fresh"), "tree-words")
+    distinct = said.where("fresh").count()
     tokens, ends = base.where("docs is not null").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("ends"), F.lit(0))).first()
     tokens, distinct = tokens + ends, distinct + (ends > 0)
     asked = base.where("gram is not null").select("block", "gram", "n")
@@ -279,7 +285,7 @@ def score(docs: DataFrame, held: Column | None = None, id_col: str = "doc_id", t
     none = F.lit(None)
     answers = (asked.select("block", "gram").join(length, "gram")
                .select("block", "gram", F.col("log_p").alias("value"), none.cast("binary").alias("word"), none.cast("long").alias("count"))
-               .unionByName(said.where("count <> n").select("block", none.cast("long").alias("gram"), none.cast("double").alias("value"), "word", "count")))
+               .unionByName(said.where("word is not null").select("block", none.cast("long").alias("gram"), none.cast("double").alias("value"), "word", "count")))
     kind = dict(rows.dtypes)["id"]
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     texts = base.where("docs is not null").select("block", "docs", F.lit(ends).alias("all_ends"))

@@ -44,7 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tessera.llm.blocks import BLOCK_BYTES, binary_array, block_names, meet, squeeze, unified, unsqueeze
+from tessera.llm.blocks import BLOCK_BYTES, STEP_BYTES, binary_array, block_names, lean, meet, squeeze, unified, unsqueeze
 from tessera.llm.common import LOWER, byte_set, steps, store, width, words
 
 #: Bytes that end a piece; blank and tab only part words.
@@ -87,12 +87,13 @@ def _flush(block: int, held: dict[str, list]) -> Iterator[pa.RecordBatch]:
 
 
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    lean()
     names, held, size = iter(block_names()), {}, 0
     for b in batches:
         by_lang = b.column(0).dictionary_encode()
         for code, lang in enumerate(by_lang.dictionary.to_pylist()):
             mine = b.filter(pa.array(by_lang.indices.to_numpy(zero_copy_only=False) == code))
-            for _, data, off in steps([mine]):
+            for _, data, off in steps([mine], budget=STEP_BYTES):
                 w, first = _pieces(data, off)
                 if len(w):
                     held.setdefault(lang, []).append((w, first))
@@ -108,7 +109,7 @@ def _known(block: pa.Table, answers: pa.Table) -> tuple[np.ndarray, np.ndarray,
     """The block's words as numbers into the answered ones (-1: rare), whether a
     word goes on a piece, and the answers' keys and counts, by place."""
     ids = unsqueeze(block["ids"][0].as_py(), np.int32)
-    rows = answers.filter(answers["place"].is_valid()).sort_by("place")
+    rows = answers.select(["place", "key", "count"]).filter(answers["place"].is_valid()).sort_by("place")
     number = np.full(block["bounds"][0].as_py()[-1], -1, np.int32)
     number[rows["place"].to_numpy()] = np.arange(len(rows), dtype=np.int32)
     return number[ids >> 1], (ids & 1) == 0, rows["key"].to_numpy(), rows["count"].to_numpy()
