@@ -7,12 +7,76 @@ under ANSI).  How many positions an array needs is the only data-dependent
 part; one aggregate pass returns the maximum size of every array path as a
 single row.  Everything else is one ``select`` evaluated inside whole-stage
 codegen -- no Python per row.
+
+Columns with open keys (VARIANT, or maps) have no schema to walk: one
+aggregate first returns the union of the keys found and their types
+(``key_types``), and the columns are read by it.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
+
+#: In the text of a variant's type: a quoted key, or a word that a schema spells otherwise.
+_SPELLED = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\bVOID\b")
+
+
+def has_open_keys(dtype: DataType) -> bool:
+    """Whether keys below ``dtype`` come from the rows instead of the schema."""
+    if isinstance(dtype, StructType):
+        return any(has_open_keys(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, ArrayType):
+        return has_open_keys(dtype.elementType)
+    return isinstance(dtype, (MapType, VariantType))
+
+
+def _as_variant(df: DataFrame, c: str) -> Column:
+    e = F.col(f"`{c}`")
+    return e if isinstance(df.schema[c].dataType, VariantType) else F.to_variant_object(e)
+
+
+def key_types(df: DataFrame, cols: list[str]) -> dict[str, DataType]:
+    """A5: the union of the keys found in each open column, as a type.
+
+    One aggregation over the rows (schemas are merged in every task, then
+    across tasks; the result has one entry per key).  A key that holds numbers of
+    several kinds gets the wider one; one that holds values of different kinds
+    stays a VARIANT; one that only ever is null becomes a string.
+    """
+    row = df.agg(*[F.schema_of_variant_agg(_as_variant(df, c)).alias(f"t{i}") for i, c in enumerate(cols)]).first()
+    spell = {"OBJECT<": "STRUCT<", "VOID": "STRING"}
+    return {c: DataType.fromDDL(_SPELLED.sub(lambda m: spell.get(m[0], m[0]), t)) for c, t in zip(cols, row)}
+
+
+def with_keys(df: DataFrame, cols: list[str]) -> DataFrame:
+    """A5: the open columns ``cols`` as structs of all keys found (NULL where a
+    row lacks one).  Keys that differ in case only cannot both be columns."""
+    types = key_types(df, cols)
+
+    def check(t: DataType) -> None:
+        if isinstance(t, ArrayType):
+            return check(t.elementType)
+        if isinstance(t, StructType):
+            names = [f.name.lower() for f in t.fields]
+            if dup := sorted({n for n in names if names.count(n) > 1}):
+                raise ValueError(f"keys {dup} differ in case only")
+            for f in t.fields:
+                check(f.dataType)
+
+    for t in types.values():
+        check(t)
+    typed = {c: F.variant_get(_as_variant(df, c), "$", _ddl(t)).alias(c) for c, t in types.items()}
+    return df.select(*[typed.get(c, F.col(f"`{c}`")) for c in df.columns])
+
+
+def _ddl(t: DataType) -> str:
+    """The type as DDL text, every key quoted."""
+    if isinstance(t, StructType):
+        return "struct<" + ", ".join(f"`{f.name.replace('`', '``')}`: {_ddl(f.dataType)}" for f in t.fields) + ">"
+    return f"array<{_ddl(t.elementType)}>" if isinstance(t, ArrayType) else t.simpleString()
 
 
 def _array_paths(dtype: DataType, path: tuple = ()) -> list[tuple]:
@@ -35,7 +99,7 @@ def _sizes(e: Column, dtype: DataType, rest: tuple) -> Column:
     if step == "[]":
         return F.flatten(F.transform(e, lambda x: _sizes(x, dtype.elementType, rest[1:])))
     field = dtype[step].dataType
-    return _sizes(e[step], field, rest[1:])
+    return _sizes(e.getField(step), field, rest[1:])
 
 
 def array_sizes(df: DataFrame, cols: list[str]) -> dict[tuple, int]:
@@ -55,7 +119,7 @@ def array_sizes(df: DataFrame, cols: list[str]) -> dict[tuple, int]:
 def _leaves(e: Column, dtype: DataType, name: str, path: tuple, sizes: dict, caps: dict):
     if isinstance(dtype, StructType):
         for f in dtype.fields:
-            yield from _leaves(e[f.name], f.dataType, f"{name}{f.name}_", path + (f.name,), sizes, caps)
+            yield from _leaves(e.getField(f.name), f.dataType, f"{name}{f.name}_", path + (f.name,), sizes, caps)
     elif isinstance(dtype, ArrayType):
         # "top" = the flattened column is itself an array (names start with
         # the position); every other array is "nested".
@@ -66,10 +130,8 @@ def _leaves(e: Column, dtype: DataType, name: str, path: tuple, sizes: dict, cap
         for i in range(n):
             yield from _leaves(F.get(e, F.lit(i)), dtype.elementType, f"{name}{i}_", path + ("[]",),
                                sizes, caps)
-    elif isinstance(dtype, MapType):
-        raise TypeError("map columns have open keys: read them as VARIANT and extract paths")
     else:
-        yield (name[:-1] or "blank"), e
+        yield (name[:-1] or "blank"), e.cast("string") if isinstance(dtype, VariantType) else e
 
 
 def flatten(df: DataFrame, cols: list[str], prefix: bool = False,
@@ -85,8 +147,13 @@ def flatten(df: DataFrame, cols: list[str], prefix: bool = False,
     (NULL where the array is shorter), and no pass over the data is made.
     Without a cap for one of the arrays, their sizes are read in one one-row
     pass.  Repeated output names raise instead of silently dropping every copy
-    (D26).
+    (D26).  VARIANT and map columns are read by the union of their keys first
+    (``with_keys``, one pass); a leaf whose values are of different kinds is
+    given as text.
     """
+    open_ = [c for c in cols if has_open_keys(df.schema[c].dataType)]
+    if open_:
+        df = with_keys(df, open_)
     capped = top_positions is not None and nested_positions is not None
     sizes = {} if capped else array_sizes(df, cols)
     caps = {"top": top_positions, "nested": nested_positions}
@@ -100,7 +167,7 @@ def flatten(df: DataFrame, cols: list[str], prefix: bool = False,
         dtype = df.schema[c].dataType
         base = f"{c}_" if prefix else ""
         if not isinstance(dtype, (StructType, ArrayType)):
-            out.append(F.col(f"`{c}`"))
+            out.append(F.col(f"`{c}`").cast("string").alias(c) if isinstance(dtype, VariantType) else F.col(f"`{c}`"))
             names.append(c)
             continue
         for leaf, e in _leaves(F.col(f"`{c}`"), dtype, base, (c,), sizes, caps):

@@ -1,9 +1,10 @@
 """File readers and sinks.
 
 * CSV is read with a declared schema (no inference pass over the data).
-* Landed API page documents are read with one schema; the page rule of the
-  paged ingest becomes a filter and the event list an ``explode``.
-* Sinks are single Spark writes (overwrite is atomic per output folder).
+* Landed API page documents are read with one declared schema, or without one
+  as VARIANT, by the union of the keys found; the page rule of the paged ingest
+  becomes a filter and the event list an ``explode``.
+* Sinks are single Spark writes.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tessera.operators.nested import with_keys
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str,
              header: bool = True, mode: str = "PERMISSIVE",
@@ -26,16 +29,34 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str,
     return reader.csv(path)
 
 
-def read_pages(spark: SparkSession, path: str, schema: StructType | str,
+def read_pages(spark: SparkSession, path: str, schema: StructType | str | None = None,
                events_path: str = "_embedded.events") -> DataFrame:
     """A4 + A5: landed page documents -> one row per event.
 
     A page counts while ``page.number < page.totalPages``; a document without
     ``page`` contributes nothing (it ended the original paged read).  Keys
     missing from an event come back as NULL because every document is read
-    with the same schema.
+    with the same schema.  Without ``schema`` that is the union of the keys of
+    all events, found in one aggregation over the files; no key is lost.
     """
-    return page_events(spark.read.schema(schema).json(path), events_path)
+    if schema is not None:
+        return page_events(spark.read.schema(schema).json(path), events_path)
+    events = with_keys(open_page_events(read_documents(spark, path), events_path), ["event"])
+    if not isinstance(events.schema["event"].dataType, StructType):  # no event, or events that are no objects
+        return events
+    return events.select("event.*")
+
+
+def read_documents(spark: SparkSession, path: str, column: str = "doc") -> DataFrame:
+    """JSON documents, one a line, as one VARIANT column: no schema, no pass over the data."""
+    return spark.read.option("singleVariantColumn", column).json(path)
+
+
+def open_page_events(docs: DataFrame, events_path: str = "_embedded.events", column: str = "doc") -> DataFrame:
+    """The page rule on VARIANT page documents (batch or streaming): one VARIANT ``event`` a row."""
+    at = lambda p, t: F.try_variant_get(F.col(column), f"$.{p}", t)
+    counted = docs.filter(at("page.number", "long") < at("page.totalPages", "long"))
+    return counted.select(F.explode(at(events_path, "array<variant>")).alias("event"))
 
 
 def page_events(docs: DataFrame, events_path: str = "_embedded.events") -> DataFrame:
