@@ -2,116 +2,118 @@
 
 ``percentile`` keeps every distinct value of a group in one aggregation
 buffer, so a group holding a third of the data would be sorted by a single
-task.  Here the work is split by value range, the same way at every size:
-
-1. rows are counted by (group, value) with map-side combine, once
-   (``counted``); everything below reads these pairs;
-2. one aggregate per group returns ``B - 1`` approximate boundaries (a
-   mergeable sketch of bounded size) and the row count ``n``;
-3. each pair gets the range its value falls in; counts per range (at most
-   ``B`` per group) give every range's starting rank, so each wanted rank
-   ``floor(q(n-1))`` / ``ceil(q(n-1))`` lies in exactly one range;
-4. only those few ranges are ordered (partitioned by group *and* range) to
-   read the values at the wanted ranks.
-
-Per-group values are attached to the pairs by group *and* a salt taken from
-the value, so a hot group is spread over ``SALTS`` keys.  The sketch only
-decides how evenly the ranges split; the answer is exact, with linear
-interpolation between the two ranks (the ``percentile`` / pandas rule).
+task.  Here a sketch bounds where each wanted rank can be, and only values
+within these bounds are kept one by one:
+
+1. one aggregate per group gives the row count and, from a mergeable quantile
+   sketch, the values at the wanted probability plus and minus ``MARGIN`` times
+   the sketch's rank error: an interval that holds the wanted ranks
+   (``intervals``; a group of few rows has one interval, all values);
+2. rows are counted by (group, value) inside the intervals, and by group and
+   gap outside them, with the gap's least and greatest value (``compacted``);
+   both are combined map-side, so a gap is one row per task;
+3. running counts over these few rows, in order of value, give the exact value
+   at every wanted rank, with linear interpolation between two ranks (the
+   ``percentile`` / pandas rule).  A rank that fell outside its interval would
+   be seen here and raises.
+
+Interval bounds reach the rows by group *and* a salt taken from the value, so a
+hot group is spread over ``SALTS`` keys.  Nothing is written in between; the
+rows are read twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
 
-from tessera.operators.joins import bounded
-from tessera.session import materialize
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SALTS = 64
+#: Accuracy of the sketch per bucket asked for, and how many times its rank error an interval takes in.
+ACCURACY, MARGIN = 32, 4
+#: Open ends of an interval: NaN is the greatest double in Spark.
+LEAST, GREATEST = float("-inf"), float("nan")
 
 
-def _bucket(bounds, v, lo: int, hi: int):
-    """Number of sorted ``bounds[lo:hi]`` below ``v`` plus ``lo``: a balanced
-    CASE tree, so each row makes log2(B) comparisons instead of B."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(bounds[mid] < v, _bucket(bounds, v, mid + 1, hi)).otherwise(_bucket(bounds, v, lo, mid))
+def values(df: DataFrame, col: str, by: list[str]) -> DataFrame:
+    """``by`` columns and ``__v`` (the value as double), NULL values and NULL groups left out."""
+    return df.select(*by, F.col(col).cast("double").alias("__v")).dropna(subset=[*by, "__v"])
 
 
-def counted(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
-    """``by`` columns, ``__v`` (value as double) and ``__w`` (its rows), NULL values left out."""
-    by = list(by or [])
-    base = df.select(*by, F.col(col).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    return materialize(base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__w")))
-
-
-def attach(pairs: DataFrame, per_group: DataFrame, by: list[str]) -> DataFrame:
-    """Columns of ``per_group`` (one row per group) on the pairs of its group."""
-    if not by:
-        extra = per_group.columns
-        one = per_group.select(F.struct(*extra).alias("__x")).scalar()
-        return pairs.withColumn("__x", one).select(*pairs.columns, *[F.col(f"__x.{c}").alias(c) for c in extra])
-    salted = per_group.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return (pairs.withColumn("__s", F.pmod(F.xxhash64("__v"), F.lit(SALTS)).cast("int"))
-            .join(salted, [*by, "__s"]).drop("__s"))
-
-
-def quantiles_of(pairs: DataFrame, probs: list[float], by: list[str], buckets: int = 128,
-                 out: str = "quantiles") -> DataFrame:
-    """Quantiles of counted pairs: ``by`` columns + ``out`` (an array of doubles)."""
-    cuts = [i / buckets for i in range(1, buckets)]
-    stats = pairs.groupBy(*by).agg(F.percentile_approx("__v", cuts, 20 * buckets).alias("__bounds"),
-                                   F.sum("__w").alias("__n"))
-    freq = attach(pairs, stats.select(*by, "__bounds"), by)
-    freq = freq.select(*by, "__v", "__w", _bucket(F.col("__bounds"), F.col("__v"), 0, buckets - 1).alias("__k"))
-    counts = freq.groupBy(*by, "__k").agg(F.sum("__w").alias("__c"))
-    start = Window.partitionBy(*by).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("__before", F.coalesce(F.sum("__c").over(start), F.lit(0)))
-
-    want = stats.select(*by, "__n", F.posexplode(F.array(*[F.lit(float(q)) for q in probs])).alias("__qi", "__q"))
-    want = want.withColumn("__p", F.col("__q") * (F.col("__n") - 1))
-    want = want.select(*by, "__qi", "__p",
-                       F.explode(F.array(F.floor("__p").cast("bigint"), F.ceil("__p").cast("bigint"))).alias("__rank"))
+def intervals(base: DataFrame, by: list[str], probs: list[float], buckets: int = 128, fences: tuple[int, int, float] | None = None,
+              more: list[Column] | None = None) -> DataFrame:
+    """Per group ``__n`` and bounds ``__lo<i>`` / ``__hi<i>`` of the values at ``probs``
+    (closed intervals), and the aggregates ``more``.
+
+    ``fences`` (a, b, w) adds two intervals, for the values at ``probs[a]`` less,
+    and ``probs[b]`` plus, w times the distance of these two.
+    """
+    accuracy = ACCURACY * buckets
+    eps = MARGIN / accuracy
+    cuts = [c for q in probs for c in (max(0.0, q - eps), min(1.0, q + eps))]
+    got = base.groupBy(*by).agg(F.count("__v").alias("__n"), F.percentile_approx("__v", cuts, accuracy).alias("__c"), *(more or []))
+    few = F.col("__n") <= MARGIN * accuracy
+    out = []
+    for i, q in enumerate(probs):
+        lo = F.when(few | F.lit(q <= eps), LEAST).otherwise(F.col("__c")[2 * i])
+        hi = F.when(few | F.lit(q + eps >= 1), GREATEST).otherwise(F.col("__c")[2 * i + 1])
+        out.append((lo, hi))
+    if fences:
+        (a_lo, a_hi), (b_lo, b_hi), w = out[fences[0]], out[fences[1]], fences[2]
+        least, most = b_lo - a_hi, b_hi - a_lo  # of the distance
+        slack = 1e-9 * (F.abs(a_lo) + F.abs(b_hi) + F.abs(w * most))
+        for lo, hi in ((a_lo - w * most - slack, a_hi - w * least + slack), (b_lo + w * least - slack, b_hi + w * most + slack)):
+            out.append((F.when(few | F.isnan(lo), LEAST).otherwise(lo), F.when(few, GREATEST).otherwise(hi)))
+    kept = [c for c in got.columns if c != "__c"]
+    return got.select(*kept, *[x.alias(f"__{s}{i}") for i, pair in enumerate(out) for s, x in zip(("lo", "hi"), pair)])
+
+
+def compacted(base: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame:
+    """``by`` columns, ``__v`` (a value inside an interval, or NULL: a gap), ``__n`` (rows),
+    ``__min``, ``__max``, ``__upto`` (rows of the group up to here, in order of value)."""
+    edges = [c for c in bounds.columns if c.startswith(("__lo", "__hi"))]
     if by:
-        located = want.join(counts, by)
-    else:  # at most ``buckets`` ranges: one array value, read by every wanted rank
-        ranges = counts.agg(F.collect_list(F.struct("__k", "__c", "__before")).alias("r")).scalar()
-        located = want.withColumn("__r", F.explode(ranges)).select(*want.columns, "__r.*")
-    located = located.filter((F.col("__rank") >= F.col("__before"))
-                             & (F.col("__rank") < F.col("__before") + F.col("__c")))
-    located = located.select(*by, "__qi", "__p", "__rank", "__k", "__before")
-
-    wanted = located.select(*by, "__k").distinct()
-    if not by:  # at most two ranges per probability
-        wanted = bounded(wanted, 2 * len(probs))
-    inside = freq.join(wanted, [*by, "__k"], "left_semi")
-    run = Window.partitionBy(*by, "__k").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("__upto", F.sum("__w").over(run))
-    hits = (inside.join(located, [*by, "__k"])
-            .filter(F.col("__before") + F.col("__upto") > F.col("__rank"))
-            .groupBy(*by, "__qi", "__p", "__rank").agg(F.min("__v").alias("__val")))
-    lo, hi = F.floor("__p"), F.ceil("__p")
-    per_q = hits.groupBy(*by, "__qi", "__p").agg(
-        F.min(F.when(F.col("__rank") == lo, F.col("__val"))).alias("__lo"),
-        F.min(F.when(F.col("__rank") == hi, F.col("__val"))).alias("__hi"))
-    value = F.when(lo == hi, F.col("__lo")).otherwise(
-        (hi - F.col("__p")) * F.col("__lo") + (F.col("__p") - lo) * F.col("__hi"))
-    per_q = per_q.select(*by, "__qi", value.alias("__q"))
-    return per_q.groupBy(*by).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("__qi", "__q"))), lambda s: s["__q"]).alias(out))
+        salt = F.pmod(F.xxhash64("__v"), F.lit(SALTS)).cast("int")
+        other = bounds.select(*by, *edges, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+        rows = base.withColumn("__salt", salt).join(other, [*by, "__salt"])
+    else:
+        rows = base.withColumn("__x", bounds.select(F.struct(*edges).alias("__x")).scalar()).select("__v", "__x.*")
+    v, n = F.col("__v"), len(edges) // 2
+    inside = reduce(lambda a, b: a | b, [(v >= F.col(f"__lo{i}")) & (v <= F.col(f"__hi{i}")) for i in range(n)])
+    # how many intervals end below: two values outside them with one number have none between
+    gap = sum(((v > F.col(f"__hi{i}")).cast("int") for i in range(n)), F.lit(0))
+    few = (rows.groupBy(*by, gap.alias("__gap"), F.when(inside, v).alias("__kept"))
+           .agg(F.count(F.lit(1)).alias("__n"), F.min(v).alias("__min"), F.max(v).alias("__max")))
+    run = Window.partitionBy(*by).orderBy("__min").rowsBetween(Window.unboundedPreceding, 0)
+    return few.select(*by, F.col("__kept").alias("__v"), "__n", "__min", "__max", F.sum("__n").over(run).alias("__upto"))
+
+
+def at_ranks(total: Column, probs: list[float], agg=lambda c: c) -> list[Column]:
+    """The value at every probability, aggregated from compacted rows (``total``: rows of the group)."""
+    upto, before = F.col("__upto"), F.col("__upto") - F.col("__n")
+    missed = F.raise_error(F.lit("a rank lies outside its interval")).cast("double")
+    out = []
+    for q in probs:
+        p = F.lit(float(q)) * (total - 1)
+        lo, hi = F.floor(p), F.ceil(p)
+        here = lambda r: agg(F.max(F.when((before <= r) & (upto > r), F.coalesce(F.col("__v"), missed))))
+        out.append(F.when(lo == hi, here(lo)).otherwise((hi - p) * here(lo) + (p - lo) * here(hi)))
+    return out
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] | None = None,
                     buckets: int = 128, out: str = "quantiles") -> DataFrame:
     """``by`` columns + ``out`` (array of doubles, one per ``probs``).
 
-    Groups with no non-NULL value are absent from the result.
+    Groups with no non-NULL value are absent from the result.  More ``buckets``:
+    a finer sketch, and fewer values kept.
     """
     by = list(by or [])
-    return quantiles_of(counted(df, col, by), probs, by, buckets, out)
+    base = values(df, col, by)
+    return quantiles_of(base, intervals(base, by, probs, buckets), probs, by, out)
 
 
-def weighted(when: Column) -> Column:
-    """Rows behind the pairs for which ``when`` holds."""
-    return F.coalesce(F.sum(F.when(when, F.col("__w"))), F.lit(0))
+def quantiles_of(base: DataFrame, bounds: DataFrame, probs: list[float], by: list[str], out: str = "quantiles") -> DataFrame:
+    rows = compacted(base, bounds, by).withColumn("__total", F.sum("__n").over(Window.partitionBy(*by)))
+    found = rows.groupBy(*by, "__total").agg(F.array(*at_ranks(F.col("__total"), probs)).alias(out))
+    return found.drop("__total")

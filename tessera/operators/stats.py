@@ -1,18 +1,17 @@
 """Exploratory statistics.
 
 All statistics are aggregates with map-side combine.  Whole-frame values
-(min, max, quartiles) are scalar subqueries planned once; grouped values are
-joined to (group, value) counts by group and salt.  Exact quartiles come from
-``tessera.operators.quantiles`` (no group is ever gathered into one task);
+(min, max, quartiles) are scalar subqueries planned once.  Exact quartiles come
+from ``tessera.operators.quantiles`` (no group is ever gathered into one task);
 ``exact=False`` switches to ``percentile_approx`` (a mergeable sketch).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tessera.operators.joins import bounded
-from tessera.operators.quantiles import attach, counted, exact_quantiles, quantiles_of, weighted
+from tessera.operators.quantiles import at_ranks, compacted, exact_quantiles, intervals, values
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -113,22 +112,28 @@ def box_stats(df: DataFrame, col: str, by: list[str] | None = None, whis: float
               exact: bool = True) -> DataFrame:
     """Quartiles, whiskers at ``whis`` x IQR clipped to the data, outliers.
 
-    Rows are counted by (group, value) once; quartiles, whiskers and outliers
-    all come from these pairs, and the fences reach them by group and salt.
+    Everything is read from the compacted rows of ``quantiles``: the bounds of
+    the quartiles bound the fences too, so values near a fence are kept one by
+    one, and all others count by gap.  ``exact=False`` takes the quartiles from
+    the ``percentile_approx`` sketch instead.
     """
     by = list(by or [])
-    pairs = counted(df, col, by)
+    base = values(df, col, by)
+    rows = compacted(base, intervals(base, by, QUARTILES, fences=(0, 2, whis)), by)
+    group = Window.partitionBy(*by)
+    total = rows.withColumn("__total", F.sum("__n").over(group))
     if exact:
-        q = quantiles_of(pairs, QUARTILES, by, out="__q")
+        q = at_ranks(F.col("__total"), QUARTILES, lambda c: c.over(group))
     else:
-        q = df.groupBy(*by).agg(F.percentile_approx(F.col(col), QUARTILES, 10000).alias("__q"))
-    q = q.select(*by, F.col("__q")[0].alias("p25"), F.col("__q")[1].alias("p50"), F.col("__q")[2].alias("p75"))
+        q = [F.max("__approx").over(group)[i] for i in range(3)]
+        approx = base.groupBy(*by).agg(F.percentile_approx("__v", QUARTILES, 10000).alias("__approx"))
+        total = total.join(approx, by) if by else total.withColumn("__approx", approx.scalar())
+    named = total.select(*by, "__n", "__min", "__max", "__total", *[x.alias(n) for x, n in zip(q, ("p25", "p50", "p75"))])
     iqr = F.col("p75") - F.col("p25")
-    q = q.select(*by, "p25", "p50", "p75", (F.col("p25") - whis * iqr).alias("lo_fence"),
-                 (F.col("p75") + whis * iqr).alias("hi_fence"))
-    v, lo, hi = F.col("__v"), F.col("lo_fence"), F.col("hi_fence")
-    return (attach(pairs, q, by).groupBy(*by, "p25", "p50", "p75", "lo_fence", "hi_fence")
-            .agg(F.min(F.when(v >= lo, v)).alias("whisker_low"),
-                 F.max(F.when(v <= hi, v)).alias("whisker_high"),
-                 weighted((v < lo) | (v > hi)).alias("outliers"),
-                 F.sum("__w").alias("n")))
+    named = named.withColumn("lo_fence", F.col("p25") - whis * iqr).withColumn("hi_fence", F.col("p75") + whis * iqr)
+    low, high, lo, hi = F.col("__min"), F.col("__max"), F.col("lo_fence"), F.col("hi_fence")
+    return (named.groupBy(*by, "p25", "p50", "p75", "lo_fence", "hi_fence")
+            .agg(F.min(F.when(low >= lo, low)).alias("whisker_low"),
+                 F.max(F.when(high <= hi, high)).alias("whisker_high"),
+                 F.coalesce(F.sum(F.when((high < lo) | (low > hi), F.col("__n"))), F.lit(0)).alias("outliers"),
+                 F.sum("__n").alias("n")))
