@@ -7,8 +7,8 @@ where that is lowest.
 
 Counting goes by length, so that what is rare is left out before it is sent:
 blocks of text (``blocks``) ask which of their words are frequent, then which
-pairs of these are, and from every word on the stretch of up to ``most`` words
-whose every pair is frequent is counted.  A phrase that occurs ``least`` times
+pairs and which triples of these are, and from every word on the stretch of up
+to ``most`` words whose every triple is frequent is counted.  A phrase that occurs ``least`` times
 has no rarer part, so nothing is lost.  Every step sends one row per block and
 distinct key.  Sorted, these stretches are one stream that gives the counts of
 all longer phrases in one reading: those with a common prefix stand together
@@ -42,6 +42,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tessera.llm.blocks import BLOCK_BYTES, STEP_BYTES, binary_array, block_names, lean, meet, squeeze, unified, unsqueeze
@@ -115,42 +116,83 @@ def _known(block: pa.Table, answers: pa.Table) -> tuple[np.ndarray, np.ndarray,
     return number[ids >> 1], (ids & 1) == 0, rows["key"].to_numpy(), rows["count"].to_numpy()
 
 
+def _counted(block: pa.Table, **columns) -> pa.Table:
+    return pa.table({"block": np.full(len(columns["n"]), block["block"][0].as_py() if len(block) else 0), **columns})
+
+
 def _pairs(block: pa.Table, answers: pa.Table) -> pa.Table:
     """Distinct pairs of neighbouring frequent words, counted."""
-    empty = pa.table({"block": pa.array([], pa.int64()), "g1": pa.array([], pa.int64()), "g2": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+    none = np.empty(0, np.int64)
     if not len(block) or not len(answers):
-        return empty
+        return _counted(block, g1=none, g2=none, n=none)
     x, on, key, _ = _known(block, answers)
-    a, b = x[:-1], x[1:]
-    good = (a >= 0) & (b >= 0) & on[1:]
-    pair, n = np.unique(a[good].astype(np.int64) * len(key) + b[good], return_counts=True)
-    return pa.table({"block": np.full(len(pair), block["block"][0].as_py()), "g1": key[pair // len(key)], "g2": key[pair % len(key)], "n": n.astype(np.int64)})
+    good = (x[:-1] >= 0) & (x[1:] >= 0) & on[1:]
+    pair, n = np.unique(x[:-1][good].astype(np.int64) * len(key) + x[1:][good], return_counts=True)
+    return _counted(block, g1=key[pair // len(key)], g2=key[pair % len(key)], n=n.astype(np.int64))
+
+
+class _Frequent:
+    """A block's words as numbers, and the places where frequent pairs and triples begin."""
+
+    def __init__(self, block: pa.Table, answers: pa.Table):
+        self.x, on, self.key, _ = _known(block, answers)
+        k, order = len(self.key), np.argsort(self.key)
+        rank = lambda c: order[np.searchsorted(self.key[order], c.to_numpy())]
+        pairs = answers.select(["key", "g2"]).filter(pa.compute.and_(answers["g2"].is_valid(), answers["g3"].is_null()))
+        triples = answers.select(["key", "g2", "g3"]).filter(answers["g3"].is_valid())
+        self.known = np.sort(rank(pairs["key"]) * k + rank(pairs["g2"]))
+        x = self.x
+        self.pair = np.zeros(len(x), bool)
+        self.pair[:-1] = (x[:-1] >= 0) & (x[1:] >= 0) & on[1:]
+        self.number = np.zeros(len(x), np.int64)  # of the pair, where there is one
+        self.number[self.pair], self.pair[self.pair] = self._find(self.known, x[:-1][self.pair[:-1]].astype(np.int64) * k + x[1:][self.pair[:-1]])
+        self.triple = np.zeros(len(x), bool)
+        if len(triples):
+            first, _ = self._find(self.known, rank(triples["key"]) * k + rank(triples["g2"]))
+            known = np.sort(first * k + rank(triples["g3"]))
+            at = self.two()
+            self.triple[at] = self._find(known, self.number[at] * k + x[at + 2])[1]
+
+    def two(self) -> np.ndarray:
+        """Where a frequent pair is followed by another."""
+        return np.flatnonzero(self.pair[:-1] & self.pair[1:])
+
+    @staticmethod
+    def _find(known: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(known):
+            return np.zeros(len(code), np.int64), np.zeros(len(code), bool)
+        at = np.minimum(np.searchsorted(known, code), len(known) - 1)
+        return at, known[at] == code
+
+
+def _triples(block: pa.Table, answers: pa.Table) -> pa.Table:
+    """Distinct triples whose two pairs are frequent, counted."""
+    none = np.empty(0, np.int64)
+    if not len(block) or not answers["g2"].is_valid().to_numpy().any():
+        return _counted(block, g1=none, g2=none, g3=none, n=none)
+    f = _Frequent(block, answers)
+    at, k = f.two(), len(f.key)
+    code, n = np.unique(f.number[at] * k + f.x[at + 2], return_counts=True)
+    pair = f.known[code // k]
+    return _counted(block, g1=f.key[pair // k], g2=f.key[pair % k], g3=f.key[code % k], n=n.astype(np.int64))
 
 
 def _windows(most: int):
     schema = pa.schema([*[(f"g{i + 1}", pa.int64()) for i in range(most)], ("n", pa.int64())])
 
     def count(block: pa.Table, answers: pa.Table) -> pa.Table:
-        """Distinct stretches of 3 to ``most`` words, counted: from every word on as
-        far as all pairs are frequent."""
-        pairs = answers.filter(answers["g2"].is_valid())
-        if not len(block) or not len(pairs):
+        """Distinct stretches of 4 to ``most`` words, counted: from every word on as
+        far as all triples are frequent."""
+        if not len(block) or not answers["g3"].is_valid().to_numpy().any():
             return schema.empty_table()
-        x, on, key, _ = _known(block, answers)
-        order = np.argsort(key)
-        rank = lambda g: order[np.searchsorted(key[order], g)]
-        known = np.sort(rank(pairs["key"].to_numpy()) * len(key) + rank(pairs["g2"].to_numpy()))
-        good = (x[:-1] >= 0) & (x[1:] >= 0) & on[1:]
-        maybe = np.flatnonzero(good)
-        pair = x[maybe].astype(np.int64) * len(key) + x[maybe + 1]
-        good[maybe] = known[np.minimum(np.searchsorted(known, pair), len(known) - 1)] == pair
-        good = np.concatenate([good, np.zeros(most, bool)])
+        f = _Frequent(block, answers)
+        good = np.concatenate([f.triple, np.zeros(most, bool)])
         start, out = np.flatnonzero(good), []
-        for m in range(3, most + 1):
-            start = start[good[start + m - 2]]
-            mine = start if m == most else start[~good[start + m - 1]]  # that end here
-            got = pa.table({f"{i}": x[mine + i] for i in range(m)}).group_by([f"{i}" for i in range(m)]).aggregate([([], "count_all")])
-            out.append(pa.table([*[key[got[f"{i}"].to_numpy()] if i < m else np.full(len(got), -1) for i in range(most)], got["count_all"].to_numpy()],
+        for m in range(4, most + 1):
+            start = start[good[start + m - 3]]
+            mine = start if m == most else start[~good[start + m - 2]]  # that end here
+            got = pa.table({f"{i}": f.x[mine + i] for i in range(m)}).group_by([f"{i}" for i in range(m)]).aggregate([([], "count_all")])
+            out.append(pa.table([*[f.key[got[f"{i}"].to_numpy()] if i < m else np.full(len(got), -1) for i in range(most)], got["count_all"].to_numpy()],
                                 schema=schema))
         return pa.concat_tables(out)
 
@@ -159,7 +201,7 @@ def _windows(most: int):
 
 def prefix_counts(batches: Iterable[pa.RecordBatch], most: int, least: int) -> Iterator[pa.RecordBatch]:
     """Read a sorted stream of stretches (keys g1 .. g<most>, -1 behind the last
-    word, n) once: the phrases of 3 words or more that they begin with and that
+    word, n) once: the phrases of 4 words or more that they begin with and that
     occur ``least`` times, with their size and count ``a``.
 
     Stretches with one prefix stand together; the last group of each size stays
@@ -176,7 +218,7 @@ def prefix_counts(batches: Iterable[pa.RecordBatch], most: int, least: int) -> I
     for b in batches:
         every = np.stack([b.column(i).to_numpy() for i in range(most)], 1)
         n = b.column(most).to_numpy()
-        for m in range(3, most + 1):
+        for m in range(4, most + 1):
             here = every[:, m - 1] >= 0
             k, c = every[here, :m], n[here]
             if m in open_:
@@ -209,18 +251,34 @@ def counts(docs: DataFrame, lang: str = "lang", text: str = "text", least: int =
     known = store(asked.select("block", "place", "key", "count", once("lang"), once("word")), "phrase-known")
     found = known.where("word is not null").select("lang", "word", "key", "count")
     known = known.select("block", "place", "key", "count")
-    pairs = meet(texts, known, _pairs, "block long, g1 long, g2 long, n long")
-    pairs = store(pairs.withColumn("all", F.sum("n").over(whole("g1", "g2"))).withColumn("head", F.first("block").over(whole("g1", "g2")) == F.col("block"))
-                  .where(F.col("all") >= least).drop("n"), "phrase-pairs")
-    none = F.lit(None)
-    answers = known.withColumn("g2", none.cast("long")).unionByName(
-        pairs.select("block", none.cast("int").alias("place"), F.col("g1").alias("key"), none.cast("long").alias("count"), "g2"))
-    count, schema = _windows(most)
     keys = [f"g{i + 1}" for i in range(most)]
-    longer = (store(meet(texts, answers, count, schema), "phrase-windows").repartitionByRange(width(docs.sparkSession), *keys[:3])
-              .sortWithinPartitions(*keys).mapInArrow(lambda it: prefix_counts(it, most, least), ", ".join([*[f"{k} long" for k in keys], "size int, a long"])))
-    two = pairs.where("head").select("g1", "g2", *[F.lit(-1).cast("long").alias(k) for k in keys[2:]], F.lit(2).alias("size"), F.col("all").alias("a"))
-    phrases = (two.unionByName(longer).withColumn("last", F.element_at(F.array(*keys), F.col("size")))
+
+    def frequent(found: DataFrame, size: int) -> DataFrame:
+        """The frequent ones of all blocks' phrases of a size; a row per block, one of each as head."""
+        alike = whole(*keys[:size])
+        return store(found.withColumn("a", F.sum("n").over(alike)).withColumn("head", F.first("block").over(alike) == F.col("block"))
+                     .where(F.col("a") >= least).drop("n"), "phrase-frequent")
+
+    def asked_for(rows: DataFrame, size: int) -> DataFrame:
+        null = lambda kind, name: F.lit(None).cast(kind).alias(name)
+        return rows.select("block", null("int", "place"), F.col("g1").alias("key"), null("long", "count"), "g2", "g3" if size > 2 else null("long", "g3"))
+
+    def counted(rows: DataFrame, size: int) -> DataFrame:
+        return rows.where("head").select(*keys[:size], *[F.lit(-1).cast("long").alias(k) for k in keys[size:]], F.lit(size).alias("size"), "a")
+
+    pairs = frequent(meet(texts, known, _pairs, "block long, g1 long, g2 long, n long"), 2)
+    phrases = counted(pairs, 2)
+    answers = known.withColumns({"g2": F.lit(None).cast("long"), "g3": F.lit(None).cast("long")}).unionByName(asked_for(pairs, 2))
+    if most > 2:
+        triples = frequent(meet(texts, answers, _triples, "block long, g1 long, g2 long, g3 long, n long"), 3)
+        phrases = phrases.unionByName(counted(triples, 3))
+        answers = answers.unionByName(asked_for(triples, 3))
+    if most > 3:
+        count, schema = _windows(most)
+        stretches = store(meet(texts, answers, count, schema), "phrase-windows").repartitionByRange(width(docs.sparkSession), *keys[:4])
+        phrases = phrases.unionByName(stretches.sortWithinPartitions(*keys).mapInArrow(
+            lambda it: prefix_counts(it, most, least), ", ".join([*[f"{k} long" for k in keys], "size int, a long"])))
+    phrases = (phrases.withColumn("last", F.element_at(F.array(*keys), F.col("size")))
                .join(found.select("lang", F.col("key").alias("g1"), F.col("count").alias("__first")), "g1")
                .join(found.select(F.col("key").alias("last"), F.col("count").alias("__last")), "last"))
     return found, totals, store(phrases.select("lang", *keys, "size", F.col("__first").alias("first"), F.col("__last").alias("last"), "a"), "phrase-counts")
