@@ -224,14 +224,15 @@ def find(x: np.ndarray, off: np.ndarray, least: int = 6, times: int = 4) -> tupl
             right = _reach(lambda k: h(p, p + k) == h(p + t, p + t + k), hi[p] - p - t)
             s, e = p - left, p + t + right
             long = e - s >= np.maximum(least, times * t)
-            for (a, z, q), i in zip(*np.unique(np.stack([s, e, t], 1)[long], axis=0, return_index=True)):
-                if not np.array_equal(x[a:z - q], x[a + q:z]):
-                    i = np.flatnonzero(long)[i]
-                    a, z = _stretch(x, int(p[i]), int(q), int(lo[p[i]]), int(hi[p[i]]))
-                    if z - a < max(least, times * q):
-                        continue
-                if not any(np.array_equal(x[a:z - q // r], x[a + q // r:z]) for r in _primes(int(q))):
-                    found.add((int(a), int(q), int(z)))
+            s, e, p, t = s[long], e[long], p[long], t[long]
+            some, which = np.unique(np.stack([s, e, t], 1), axis=0, return_inverse=True)
+            for n, (a, z, q) in enumerate(some.tolist()):
+                at = [(a, z)]
+                if not np.array_equal(x[a:z - q], x[a + q:z]):  # hashes collided: word by word from each of the seeds
+                    at = {_stretch(x, int(k), q, int(lo[k]), int(hi[k])) for k in p[which == n]}
+                for a, z in at:
+                    if z - a >= max(least, times * q) and not any(np.array_equal(x[a:z - q // r], x[a + q // r:z]) for r in _primes(q)):
+                        found.add((a, q, z))
         for a, q, z in found:
             if size <= q < 2 * size:
                 known.setdefault(q, []).append((a, z))
