@@ -65,3 +65,32 @@ def distinct_count(col: str, approx: bool = False, count_null: bool = False, rsd
     if count_null:
         base = base + F.coalesce(F.max(F.when(c.isNull(), 1).otherwise(0)), F.lit(0))
     return base
+
+
+def distinct_by_flags(df: DataFrame, col: str, flags: dict[str, Column], by: list[str] | None = None, out: str = "distinct") -> DataFrame:
+    """Per group the distinct values of ``col`` (``out``) and those with a
+    row where a flag holds (a column per flag).
+
+    One aggregate by value, with the flags or-ed together, and one over the values:
+    rows are not copied per distinct count (no Expand).
+    """
+    by = list(by or [])
+    per_value = df.where(F.col(col).isNotNull()).groupBy(*by, F.col(col).alias("__v")).agg(
+        *[F.coalesce(F.bool_or(f), F.lit(False)).alias(n) for n, f in flags.items()] or [F.lit(True).alias("__any")])
+    return per_value.groupBy(*by).agg(F.count(F.lit(1)).alias(out), *[F.count_if(F.col(n)).alias(n) for n in flags])
+
+
+def key_bitmaps(df: DataFrame, col: str, by: list[str]) -> DataFrame:
+    """The integer keys of every group as bitmaps: ``by`` columns, ``bucket`` (32768
+    neighbouring keys) and ``bits`` (4 KB), combined map-side.  For keys that lie
+    close together; NULL keys are left out."""
+    known = df.where(F.col(col).isNotNull())
+    return (known.groupBy(*by, F.bitmap_bucket_number(F.col(col)).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(col))).alias("bits")))
+
+
+def bitmap_distinct(bitmaps: DataFrame, by: list[str], out: str = "n") -> DataFrame:
+    """Exact distinct keys per ``by`` (any part of the bitmaps' groups): bitmaps are
+    or-ed together, so months add up to quarters without reading rows again."""
+    merged = bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return merged.groupBy(*by).agg(F.sum(F.bitmap_count("bits")).alias(out))

@@ -4,15 +4,27 @@ Broadcast policy: a side is hinted only if its row bound is known from
 parameters (a generated calendar, a level list, a bin frame).  Every table is
 left to the planner, which broadcasts by the size of its files or, at run
 time, of its shuffle output, so the choice follows the data of each run.
+
+Skewed keys (``Link.skewed``): the fact's frequent keys, found by a mergeable
+heavy-hitter sketch, meet their few dimension rows by broadcast; all other rows
+are shuffled, and no key among them holds more than a small share.
+
+Key uniqueness (``Link.unique``, ``unique_by``): checked in the plan itself, by an
+aggregate on the join's own key; a repeated key fails the job.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_MAX_ROWS = 100_000
+#: A key with more than 1/HOT of the rows is hot, so there are fewer than HOT; counters of the sketch.
+HOT, COUNTERS = 200, 10_000
+#: Words of 64 bits in a semi-join's prefilter.
+FILTER_WORDS = 1 << 14
 
 
 def bounded(df: DataFrame, known_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -30,6 +42,35 @@ class Link:
     columns: list[str] = field(default_factory=list)
     how: str = "left"
     rows: int | None = None      # row bound known from parameters: may be broadcast
+    skewed: bool = False         # the fact's frequent keys go by broadcast (one key column, unique in ``dim``)
+    unique: bool = False         # a repeated ``dim_key`` fails the job
+
+
+def hot_keys(df: DataFrame, key: str) -> Column:
+    """The keys with more than 1/``HOT`` of the rows (and some of little less), as
+    an array: one aggregate over the key column, a sketch of ``COUNTERS`` counters
+    whose error is far below that share.  A scalar subquery: nothing runs until
+    the plan does."""
+    top = df.select(F.col(key).alias("__k")).where("__k is not null").agg(
+        F.expr(f"approx_top_k(__k, {HOT}, {COUNTERS})").alias("__t"), F.count(F.lit(1)).alias("__n"))
+    return top.select(F.expr(f"transform(filter(__t, x -> x.count * {HOT} > __n), x -> x.item)")).scalar()
+
+
+def unique_by(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df``, whose rows must differ in ``keys``: a repeated key fails the job
+    with its values.  The check is the aggregate that puts a key's rows together on
+    the way to the join, not a second pass.  Rows with a NULL key never join and
+    are kept as they are."""
+    others = [c for c in df.columns if c not in keys]
+    known = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    text = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(f"`{k}`").cast("string")) for k in keys])
+    row = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(0)
+    once = (df.where(known).groupBy(*keys).agg(F.any_value(row).alias("__row"), F.count(F.lit(1)).alias("__n"))
+            .withColumn("__row", F.when(F.col("__n") == 1, F.col("__row")).otherwise(F.raise_error(F.concat(F.lit("repeated key: "), text)))))
+    # the row is read from the checked value, so that the check cannot be pruned away; with no other column a filter reads it
+    out = once.select(*[F.col(f"`{c}`") if c in keys else F.col("__row").getField(c).alias(c) for c in df.columns]) if others else \
+        once.where("__row = 0").select(*keys)
+    return out.unionByName(df.where(~known))
 
 
 def enrich(fact: DataFrame, chain: list[Link]) -> DataFrame:
@@ -45,24 +86,69 @@ def enrich(fact: DataFrame, chain: list[Link]) -> DataFrame:
         dk = [link.dim_key] if isinstance(link.dim_key, str) else list(link.dim_key)
         tmp = [f"__k{i}" for i in range(len(dk))]
         dim = link.dim.select(*[F.col(k).alias(t) for k, t in zip(dk, tmp)], *link.columns)
+        if link.unique:
+            dim = unique_by(dim, tmp)
         if link.rows is not None:
             dim = bounded(dim, link.rows)
-        cond = None
-        for a, b in zip(lk, tmp):
-            c = out[a] == dim[b]
-            cond = c if cond is None else cond & c
-        out = out.join(dim, cond, link.how).drop(*tmp)
+        join = _skew_join if link.skewed else _join
+        out = join(out, dim, lk, tmp, link.how).drop(*tmp)
     return out
 
 
-def semi(df: DataFrame, keys: DataFrame, on: str | list[str], anti: bool = False) -> DataFrame:
+def _join(fact: DataFrame, dim: DataFrame, left: list[str], right: list[str], how: str) -> DataFrame:
+    return fact.join(dim, reduce(lambda a, b: a & b, [fact[a] == dim[b] for a, b in zip(left, right)]), how)
+
+
+def _skew_join(fact: DataFrame, dim: DataFrame, left: list[str], right: list[str], how: str) -> DataFrame:
+    if len(left) != 1 or how not in ("left", "inner"):
+        raise ValueError("a skewed link has one key column and is a left or inner join")
+    hot = hot_keys(fact, left[0])
+    often = lambda df, c: F.coalesce(F.array_contains(hot, df[c]), F.lit(False))
+    # a NULL key joins nothing: such rows are not shuffled either
+    here = often(fact, left[0]) | fact[left[0]].isNull()
+    few = F.broadcast(dim.where(often(dim, right[0])))  # fewer than HOT keys, a row each
+    return _join(fact.where(here), few, left, right, how).unionByName(_join(fact.where(~here), dim, left, right, how))
+
+
+def _slot(c: Column) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(FILTER_WORDS * 64))
+
+
+def key_filter(keys: DataFrame) -> Column:
+    """A Bloom filter (one hash, ``FILTER_WORDS`` words) of the only column of
+    ``keys`` as an array of longs: a scalar subquery of bounded size."""
+    slot = _slot(F.col(keys.columns[0]))
+    words = keys.select(slot.alias("s")).selectExpr("cast(s div 64 as int) as w", "shiftleft(1L, cast(s % 64 as int)) as b")
+    every = keys.sparkSession.range(FILTER_WORDS).selectExpr("cast(id as int) as w", "0L as b")
+    return (words.groupBy("w").agg(F.bit_or("b").alias("b")).unionByName(every).groupBy("w").agg(F.bit_or("b").alias("b"))
+            .agg(F.expr("transform(array_sort(collect_list(struct(w, b))), x -> x.b)")).scalar())
+
+
+def may_hold(filter_: Column, key: Column) -> Column:
+    """Whether ``key`` can be in the filter's set (never false for one that is)."""
+    slot = _slot(key)
+    word = F.get(filter_, F.floor(slot / 64).cast("int"))
+    return F.call_function("shiftright", word, (slot % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+
+
+def semi(df: DataFrame, keys: DataFrame, on: str | list[str], anti: bool = False, prefilter: bool = False) -> DataFrame:
     """Rows of ``df`` whose key is (not) in ``keys`` -- IN (subquery).
 
     The key side is reduced to distinct keys first (combined map-side), so a
     key repeated on many fact rows is shuffled once per task, not per row.
+    ``prefilter`` (one key column, not ``anti``): a Bloom filter of the keys is
+    built first and applied where ``df`` is scanned, so that most rows without a
+    partner never reach the shuffle; the join after it is exact.
     """
     cols = [on] if isinstance(on, str) else list(on)
-    return df.join(keys.select(*cols).distinct(), cols, "left_anti" if anti else "left_semi")
+    wanted = keys.select(*cols).distinct()
+    if prefilter:
+        if len(cols) != 1 or anti:
+            raise ValueError("a prefilter takes one key column and a semi-join")
+        # both sides hash the same type, or equal keys would get different slots
+        kind = df.schema[cols[0]].dataType
+        df = df.where(may_hold(key_filter(wanted.select(F.col(cols[0]).cast(kind))), F.col(cols[0])))
+    return df.join(wanted, cols, "left_anti" if anti else "left_semi")
 
 
 def parent_lookup(df: DataFrame, people: DataFrame, key: str, parent_key: str,
@@ -82,5 +168,5 @@ def parent_lookup(df: DataFrame, people: DataFrame, key: str, parent_key: str,
 
 
 def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key repeats (an empty result means the key is unique)."""
+    """The keys that repeat, with their rows (empty: the key is unique); ``unique_by`` enforces it."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

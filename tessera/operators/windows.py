@@ -44,3 +44,16 @@ def previous_value(df: DataFrame, keys: list[str], order: list[str], col: str,
     """``lag(col)`` within ``keys`` by ``order`` (give a full tie-break)."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(out, F.lag(col).over(w))
+
+
+def sample_per_group(df: DataFrame, by: list[str], k: int, key: list[str], seed: int = 0, ties: list[str] | None = None) -> DataFrame:
+    """Exactly ``k`` rows of every group (all, if it has fewer): those whose key has the
+    lowest hash.  The same rows in any partitioning.
+
+    Bottom-k by hash merges: each task keeps its ``k`` lowest rows per group before
+    anything is shuffled, so a group sends k rows per task, however large it is.
+    Rows with equal keys are told apart by ``ties``.
+    """
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]))
+    lowest = Window.partitionBy(*by).orderBy("__h", *key, *(ties or []))
+    return df.withColumn("__h", h).withColumn("__r", F.row_number().over(lowest)).where(F.col("__r") <= k).drop("__h", "__r")

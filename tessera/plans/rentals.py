@@ -19,6 +19,7 @@ from tessera.functions.numeric import money
 from tessera.functions.recode import bucket, ordinal
 from tessera.operators.names import rename_map
 from tessera.operators.stats import box_stats, correlations, describe, histogram
+from tessera.operators.windows import sample_per_group
 from tessera.sources.tables import Warehouse
 
 RENAME = {"event_type": "seasons", "value": "rented_bike_count"}
@@ -129,6 +130,17 @@ def rental_scatter_source(spark, base):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+SCATTER_ROWS, SCATTER_KEY = 100, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def rental_scatter_sample(spark, base):
+    """The points of the scatter plot: the same number of rows per group, drawn by hash."""
+    li = Warehouse(spark, base).lineitem
+    points = sample_per_group(li.select("l_returnflag", "l_quantity", "l_extendedprice", *SCATTER_KEY), ["l_returnflag"], SCATTER_ROWS,
+                              SCATTER_KEY, ties=["l_quantity", "l_extendedprice"])
+    return points.select(F.col("l_returnflag").alias("grp"), F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"), "l_orderkey", "l_linenumber")
+
+
 # Q73 -------------------------------------------------------------------------
 def temperature_histogram_high_demand(spark, base):
     ev = _ev(spark, base).filter(F.col("value") > HIGH_DEMAND)
@@ -167,6 +179,7 @@ QUERIES = {
     "rental_correlations": rental_correlations,
     "rental_correlation_ranking": rental_correlation_ranking,
     "rental_scatter_source": rental_scatter_source,
+    "rental_scatter_sample": rental_scatter_sample,
     "temperature_histogram_high_demand": temperature_histogram_high_demand,
     "rental_box_by_season_holiday": rental_box_by_season_holiday,
     "mean_by_daypart_season": mean_by_daypart_season,
@@ -268,6 +281,10 @@ WITH c AS ({_corr_sql()})
 SELECT var_y AS variable, r,
        CAST(ROW_NUMBER() OVER (ORDER BY ABS(r) DESC, var_y) AS INTEGER) AS strength_rank
 FROM c WHERE var_x = '{CORR_TARGET}' AND var_y != '{CORR_TARGET}'""",
+    "rental_scatter_sample": f"""
+SELECT l_returnflag AS grp, l_quantity AS x, l_extendedprice AS y, l_orderkey, l_linenumber FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY md5('0|' || {" || '|' || ".join(f'CAST({c} AS VARCHAR)' for c in SCATTER_KEY)}),
+                           {", ".join(SCATTER_KEY)}, l_quantity, l_extendedprice) <= {SCATTER_ROWS}""",
     "rental_scatter_source": f"""
 WITH s AS (SELECT MIN(l_quantity) AS xmn, MAX(l_quantity) AS xmx, MIN(l_extendedprice) AS ymn,
                   MAX(l_extendedprice) AS ymx FROM lineitem)

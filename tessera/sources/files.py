@@ -4,11 +4,16 @@
 * Landed API page documents are read with one declared schema, or without one
   as VARIANT, by the union of the keys found; the page rule of the paged ingest
   becomes a filter and the event list an ``explode``.
-* Sinks are single Spark writes.
+* Sinks are single Spark writes.  ``save_table`` overwrites in place: Spark removes
+  the old files first, so a reader can find none for a while.  ``replace_table``
+  leaves no such gap: a fresh version is written beside the old one and published
+  by one rename of a pointer, which ``load_table`` follows.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -68,7 +73,7 @@ def page_events(docs: DataFrame, events_path: str = "_embedded.events") -> DataF
 
 def save_table(df: DataFrame, path: str, fmt: str = "parquet",
                mode: str = "overwrite", partition_by: list[str] | None = None, **options) -> None:
-    """Replace the table at ``path`` with ``df`` in one write.
+    """Replace the files at ``path`` with ``df`` in one write (not atomic).
 
     The replace-then-append pair of the original becomes a single overwrite;
     no positional index column is written.
@@ -79,8 +84,68 @@ def save_table(df: DataFrame, path: str, fmt: str = "parquet",
     writer.save(path)
 
 
+#: Name of the pointer in a versioned table's folder: the name of the version to read.
+POINTER = "_CURRENT"
+
+
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop
+    at = hadoop.fs.Path(path)
+    return hadoop, at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The published version of the table at ``path`` (None: it has no pointer)."""
+    hadoop, at, fs = _fs(spark, f"{path.rstrip('/')}/{POINTER}")
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
+def _publish(spark: SparkSession, path: str, version: str) -> None:
+    """Point the table to ``version``: one rename over the old pointer."""
+    hadoop, new, fs = _fs(spark, f"{path}/{POINTER}-{version}")
+    out = fs.create(new, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    files = hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    how = spark.sparkContext._gateway.new_array(hadoop.fs.Options.Rename, 1)
+    how[0] = hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(fs.makeQualified(new), fs.makeQualified(hadoop.fs.Path(f"{path}/{POINTER}")), how)
+
+
+def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None, **options) -> str:
+    """Replace the table at ``path`` without a gap; returns the new version's name.
+
+    A write that fails or is killed leaves the old version published and whole.
+    The version before stays for readers that have begun on it; older ones, and
+    what failed writes left, are removed once the new one is published.  One
+    writer at a time.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    before = current_version(spark, path)
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    writer = df.write.mode("errorifexists").format(fmt).options(**options)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(f"{path}/{version}")
+    _publish(spark, path, version)
+    _, at, fs = _fs(spark, path)
+    for f in fs.listStatus(at):
+        name = f.getPath().getName()
+        if name not in (version, before, POINTER) and name.startswith(("v-", f"{POINTER}-")):
+            fs.delete(f.getPath(), True)
+    return version
+
+
 def load_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    """The table at ``path``: its published version, or the files themselves."""
+    version = current_version(spark, path)
+    return spark.read.format(fmt).load(path if version is None else f"{path.rstrip('/')}/{version}")
 
 
 def replace_view(df: DataFrame, name: str) -> DataFrame:
