@@ -42,16 +42,25 @@ class Link:
     columns: list[str] = field(default_factory=list)
     how: str = "left"
     rows: int | None = None      # row bound known from parameters: may be broadcast
-    skewed: bool = False         # the fact's frequent keys go by broadcast (one key column, unique in ``dim``)
+    skewed: bool = False         # the fact's frequent keys go by broadcast (the key is unique in ``dim``)
     unique: bool = False         # a repeated ``dim_key`` fails the job
 
 
-def hot_keys(df: DataFrame, key: str) -> Column:
+def _one_key(df: DataFrame, keys: list[str]) -> Column:
+    """The key as one value: itself, or a hash of its parts (as text, so that numbers
+    of different types agree).  NULL if a part is NULL."""
+    if len(keys) == 1:
+        return df[keys[0]]
+    known = reduce(lambda a, b: a & b, [df[k].isNotNull() for k in keys])
+    return F.when(known, F.xxhash64(*[df[k].cast("string") for k in keys]))
+
+
+def hot_keys(df: DataFrame, *keys: str) -> Column:
     """The keys with more than 1/``HOT`` of the rows (and some of little less), as
-    an array: one aggregate over the key column, a sketch of ``COUNTERS`` counters
+    an array: one aggregate over the key columns, a sketch of ``COUNTERS`` counters
     whose error is far below that share.  A scalar subquery: nothing runs until
     the plan does."""
-    top = df.select(F.col(key).alias("__k")).where("__k is not null").agg(
+    top = df.select(_one_key(df, list(keys)).alias("__k")).where("__k is not null").agg(
         F.expr(f"approx_top_k(__k, {HOT}, {COUNTERS})").alias("__t"), F.count(F.lit(1)).alias("__n"))
     return top.select(F.expr(f"transform(filter(__t, x -> x.count * {HOT} > __n), x -> x.item)")).scalar()
 
@@ -100,13 +109,14 @@ def _join(fact: DataFrame, dim: DataFrame, left: list[str], right: list[str], ho
 
 
 def _skew_join(fact: DataFrame, dim: DataFrame, left: list[str], right: list[str], how: str) -> DataFrame:
-    if len(left) != 1 or how not in ("left", "inner"):
-        raise ValueError("a skewed link has one key column and is a left or inner join")
-    hot = hot_keys(fact, left[0])
-    often = lambda df, c: F.coalesce(F.array_contains(hot, df[c]), F.lit(False))
+    if how not in ("left", "inner"):
+        raise ValueError("a skewed link is a left or inner join")
+    hot = hot_keys(fact, *left)
+    often = lambda key: F.coalesce(F.array_contains(hot, key), F.lit(False))
+    key = _one_key(fact, left)
     # a NULL key joins nothing: such rows are not shuffled either
-    here = often(fact, left[0]) | fact[left[0]].isNull()
-    few = F.broadcast(dim.where(often(dim, right[0])))  # fewer than HOT keys, a row each
+    here = often(key) | key.isNull()
+    few = F.broadcast(dim.where(often(_one_key(dim, right))))  # fewer than HOT keys, a row each (more only if hashes collide)
     return _join(fact.where(here), few, left, right, how).unionByName(_join(fact.where(~here), dim, left, right, how))
 
 

@@ -61,7 +61,15 @@ def test_skewed_inner_join_and_wrong_use(spark):
     empty = fact.limit(0)
     assert enrich(empty, [Link(dim, "k", "k", ["n"], skewed=True)]).count() == 0
     with pytest.raises(ValueError):
-        enrich(fact, [Link(dim, ["k", "v"], ["k", "n"], skewed=True)])
+        enrich(fact, [Link(dim, "k", "k", ["n"], "full", skewed=True)])
+
+
+def test_skewed_keys_of_two_columns(spark, no_broadcast):
+    fact = spark.range(6000).selectExpr("if(id % 2 = 0, 1, cast(id % 40 as int)) as a", "if(id % 6 < 4, 'x', if(id % 6 = 4, null, 'y')) as b", "id")
+    dim = spark.range(80).selectExpr("id div 2 as a", "if(id % 2 = 0, 'x', 'y') as b", "id as n")  # the number is a long here
+    for how in ("left", "inner"):
+        got, want = (enrich(fact, [Link(dim, ["a", "b"], ["a", "b"], ["n"], how, skewed=s)]) for s in (True, False))
+        assert _same(got, want)
 
 
 def test_hot_keys_come_from_a_sketch(spark):
