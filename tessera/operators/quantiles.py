@@ -32,7 +32,7 @@ SALTS = 64
 #: Accuracy of the sketch per bucket asked for, and how many times its rank error an interval takes in.
 ACCURACY, MARGIN = 32, 4
 #: Open ends of an interval: NaN is the greatest double in Spark.
-LEAST, GREATEST = float("-inf"), float("nan")
+LEAST, GREATEST = "double('-Infinity')", "double('NaN')"
 
 
 def values(df: DataFrame, col: str, by: list[str]) -> DataFrame:
@@ -52,20 +52,21 @@ def intervals(base: DataFrame, by: list[str], probs: list[float], buckets: int =
     eps = MARGIN / accuracy
     cuts = [c for q in probs for c in (max(0.0, q - eps), min(1.0, q + eps))]
     got = base.groupBy(*by).agg(F.count("__v").alias("__n"), F.percentile_approx("__v", cuts, accuracy).alias("__c"), *(more or []))
-    few = F.col("__n") <= MARGIN * accuracy
-    out = []
+    few = f"__n <= {accuracy}"  # all values are kept; beyond that the margin is several ranks
+    named = {}
     for i, q in enumerate(probs):
-        lo = F.when(few | F.lit(q <= eps), LEAST).otherwise(F.col("__c")[2 * i])
-        hi = F.when(few | F.lit(q + eps >= 1), GREATEST).otherwise(F.col("__c")[2 * i + 1])
-        out.append((lo, hi))
+        named[f"__lo{i}"] = f"if({few} or {q <= eps}, {LEAST}, __c[{2 * i}])"
+        named[f"__hi{i}"] = f"if({few} or {q + eps >= 1}, {GREATEST}, __c[{2 * i + 1}])"
+    got = got.selectExpr(*[f"`{c}`" for c in got.columns if c != "__c"], *[f"{e} as {n}" for n, e in named.items()])
     if fences:
-        (a_lo, a_hi), (b_lo, b_hi), w = out[fences[0]], out[fences[1]], fences[2]
-        least, most = b_lo - a_hi, b_hi - a_lo  # of the distance
-        slack = 1e-9 * (F.abs(a_lo) + F.abs(b_hi) + F.abs(w * most))
-        for lo, hi in ((a_lo - w * most - slack, a_hi - w * least + slack), (b_lo + w * least - slack, b_hi + w * most + slack)):
-            out.append((F.when(few | F.isnan(lo), LEAST).otherwise(lo), F.when(few, GREATEST).otherwise(hi)))
-    kept = [c for c in got.columns if c != "__c"]
-    return got.select(*kept, *[x.alias(f"__{s}{i}") for i, pair in enumerate(out) for s, x in zip(("lo", "hi"), pair)])
+        a, b, w, k = *fences, len(probs)
+        most, least = f"{w}D * (__hi{b} - __lo{a})", f"{w}D * (__lo{b} - __hi{a})"  # of the distance
+        slack = f"1e-9D * (abs(__lo{a}) + abs(__hi{b}) + abs({most}))"
+        lows = f"__lo{a} - {most} - {slack}", f"__lo{b} + {least} - {slack}"
+        highs = f"__hi{a} - {least} + {slack}", f"__hi{b} + {most} + {slack}"
+        got = got.selectExpr("*", *[f"if({few} or isnan({e}), {LEAST}, {e}) as __lo{k + i}" for i, e in enumerate(lows)],
+                             *[f"if({few}, {GREATEST}, {e}) as __hi{k + i}" for i, e in enumerate(highs)])
+    return got
 
 
 def compacted(base: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame:
@@ -78,27 +79,28 @@ def compacted(base: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame:
         rows = base.withColumn("__salt", salt).join(other, [*by, "__salt"])
     else:
         rows = base.withColumn("__x", bounds.select(F.struct(*edges).alias("__x")).scalar()).select("__v", "__x.*")
-    v, n = F.col("__v"), len(edges) // 2
-    inside = reduce(lambda a, b: a | b, [(v >= F.col(f"__lo{i}")) & (v <= F.col(f"__hi{i}")) for i in range(n)])
+    n = range(len(edges) // 2)
+    inside = " or ".join(f"(__v >= __lo{i} and __v <= __hi{i})" for i in n)
     # how many intervals end below: two values outside them with one number have none between
-    gap = sum(((v > F.col(f"__hi{i}")).cast("int") for i in range(n)), F.lit(0))
-    few = (rows.groupBy(*by, gap.alias("__gap"), F.when(inside, v).alias("__kept"))
-           .agg(F.count(F.lit(1)).alias("__n"), F.min(v).alias("__min"), F.max(v).alias("__max")))
+    gap = " + ".join(f"int(__v > __hi{i})" for i in n)
+    few = (rows.selectExpr(*[f"`{c}`" for c in by], "__v", f"{gap} as __gap", f"if({inside}, __v, null) as __kept").groupBy(*by, "__gap", "__kept")
+           .agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max")))
     run = Window.partitionBy(*by).orderBy("__min").rowsBetween(Window.unboundedPreceding, 0)
     return few.select(*by, F.col("__kept").alias("__v"), "__n", "__min", "__max", F.sum("__n").over(run).alias("__upto"))
 
 
-def at_ranks(total: Column, probs: list[float], agg=lambda c: c) -> list[Column]:
-    """The value at every probability, aggregated from compacted rows (``total``: rows of the group)."""
-    upto, before = F.col("__upto"), F.col("__upto") - F.col("__n")
-    missed = F.raise_error(F.lit("a rank lies outside its interval")).cast("double")
-    out = []
-    for q in probs:
-        p = F.lit(float(q)) * (total - 1)
-        lo, hi = F.floor(p), F.ceil(p)
-        here = lambda r: agg(F.max(F.when((before <= r) & (upto > r), F.coalesce(F.col("__v"), missed))))
-        out.append(F.when(lo == hi, here(lo)).otherwise((hi - p) * here(lo) + (p - lo) * here(hi)))
-    return out
+def at_ranks(probs: list[float]) -> tuple[dict[str, Column], list[Column]]:
+    """(named aggregates of compacted rows with ``__total``, the group's rows; the value
+    at every probability from these): the values at both ranks around it, interpolated."""
+    found, out = {}, []
+    for i, q in enumerate(probs):
+        p = f"({float(q)!r}D * (__total - 1))"
+        for end, name in (("floor", "below"), ("ceil", "above")):
+            r = f"{end}{p}"
+            found[f"__{name}{i}"] = F.expr(f"max(if(__upto - __n <= {r} and __upto > {r}, "
+                                           "coalesce(__v, double(raise_error('a rank lies outside its interval'))), null))")
+        out.append(F.expr(f"if(floor{p} = ceil{p}, __below{i}, (ceil{p} - {p}) * __below{i} + ({p} - floor{p}) * __above{i})"))
+    return found, out
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] | None = None,
@@ -114,6 +116,6 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] |
 
 
 def quantiles_of(base: DataFrame, bounds: DataFrame, probs: list[float], by: list[str], out: str = "quantiles") -> DataFrame:
+    found, quantiles = at_ranks(probs)
     rows = compacted(base, bounds, by).withColumn("__total", F.sum("__n").over(Window.partitionBy(*by)))
-    found = rows.groupBy(*by, "__total").agg(F.array(*at_ranks(F.col("__total"), probs)).alias(out))
-    return found.drop("__total")
+    return rows.groupBy(*by, "__total").agg(*[c.alias(n) for n, c in found.items()]).select(*by, F.array(*quantiles).alias(out))

@@ -121,19 +121,18 @@ def box_stats(df: DataFrame, col: str, by: list[str] | None = None, whis: float
     base = values(df, col, by)
     rows = compacted(base, intervals(base, by, QUARTILES, fences=(0, 2, whis)), by)
     group = Window.partitionBy(*by)
-    total = rows.withColumn("__total", F.sum("__n").over(group))
+    found, quartiles = at_ranks(QUARTILES)
+    rows = rows.withColumn("__total", F.sum("__n").over(group))
     if exact:
-        q = at_ranks(F.col("__total"), QUARTILES, lambda c: c.over(group))
+        rows = rows.select("*", *[c.over(group).alias(n) for n, c in found.items()])
     else:
-        q = [F.max("__approx").over(group)[i] for i in range(3)]
         approx = base.groupBy(*by).agg(F.percentile_approx("__v", QUARTILES, 10000).alias("__approx"))
-        total = total.join(approx, by) if by else total.withColumn("__approx", approx.scalar())
-    named = total.select(*by, "__n", "__min", "__max", "__total", *[x.alias(n) for x, n in zip(q, ("p25", "p50", "p75"))])
-    iqr = F.col("p75") - F.col("p25")
-    named = named.withColumn("lo_fence", F.col("p25") - whis * iqr).withColumn("hi_fence", F.col("p75") + whis * iqr)
-    low, high, lo, hi = F.col("__min"), F.col("__max"), F.col("lo_fence"), F.col("hi_fence")
-    return (named.groupBy(*by, "p25", "p50", "p75", "lo_fence", "hi_fence")
-            .agg(F.min(F.when(low >= lo, low)).alias("whisker_low"),
-                 F.max(F.when(high <= hi, high)).alias("whisker_high"),
-                 F.coalesce(F.sum(F.when((high < lo) | (low > hi), F.col("__n"))), F.lit(0)).alias("outliers"),
+        rows = rows.join(approx, by) if by else rows.withColumn("__approx", approx.scalar())
+        quartiles = [F.col("__approx")[i] for i in range(3)]
+    fences = rows.select(*by, "__n", "__min", "__max", *[q.alias(n) for q, n in zip(quartiles, ("p25", "p50", "p75"))]).selectExpr(
+        "*", f"p25 - {whis}D * (p75 - p25) as lo_fence", f"p75 + {whis}D * (p75 - p25) as hi_fence")
+    return (fences.groupBy(*by, "p25", "p50", "p75", "lo_fence", "hi_fence")
+            .agg(F.expr("min(if(__min >= lo_fence, __min, null))").alias("whisker_low"),
+                 F.expr("max(if(__max <= hi_fence, __max, null))").alias("whisker_high"),
+                 F.expr("coalesce(sum(if(__max < lo_fence or __min > hi_fence, __n, null)), 0)").alias("outliers"),
                  F.sum("__n").alias("n")))
