@@ -6,6 +6,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 
 from tessera.llm import op2_chains, op3_mix, op5_topk, op7_suffixes, op8_pieces, op9_jaccard
 from tessera.llm.common import connected, skew_join
@@ -132,6 +133,49 @@ def test_hot_seeds_take_the_same_matches(documents, monkeypatch):
     assert {r.doc_id for r in cold} == set(range(1, 40)) and {r.source_id for r in cold} == {0}
 
 
+def _decoded(df):
+    out = set()
+    for r in df.collect():
+        raw = zstandard.ZstdDecompressor().decompress(r["load"])
+        n = len(raw) // 24
+        cols = [np.frombuffer(raw, t, n, at * n) for t, at in (("<i8", 0), ("<i8", 8), ("<i4", 16), ("<i4", 20))]
+        out |= {(r["kind"], *x) for x in zip(*(c.tolist() for c in cols))}
+    return out
+
+
+def _all_hot(monkeypatch, keys):
+    """Every seed that occurs again is hot, and hot seeds are dealt over many ranges of ids."""
+    monkeypatch.setattr(op2_chains, "HOT_SEEDS", 1)
+    monkeypatch.setattr(op2_chains, "HOT", 1 << 40)
+    monkeypatch.setattr(op2_chains, "RANGE_BUCKETS", 1)
+    monkeypatch.setattr(op2_chains, "RANGES", keys)
+
+
+@pytest.mark.parametrize("ranges", [4, 64])
+def test_hot_seeds_meet_the_document_before(documents, monkeypatch, ranges):
+    rng = random.Random(31)
+    w = vocabulary(rng, 5)  # 4-word seeds come many times, also within a text
+    ids = rng.sample(range(-5000, 5000), 150)
+    df = documents([(i, prose(rng, w, rng.randint(0, 60))) for i in ids]).selectExpr("doc_id as id", "text").repartition(5)
+    monkeypatch.setattr(op2_chains, "BUCKET_BYTES", (512, 1 << 20))
+    cold = _decoded(op2_chains.matches(df))
+    assert {m[0] for m in cold} == {0, 1}
+    _all_hot(monkeypatch, ranges)
+    assert len(op2_chains.hot_keys(df)) > 200
+    assert _decoded(op2_chains.matches(df)) == cold
+
+
+def test_passage_of_hot_seeds_that_stood_elsewhere_before(documents, monkeypatch):
+    rng = random.Random(32)
+    w, other = vocabulary(rng, 4000), vocabulary(rng, 4000)
+    passage = rng.sample(w, 60)
+    data = [(i, " ".join(rng.sample(other, 20) + passage[3 * i:3 * i + 6] + rng.sample(other, 20))) for i in range(19)]
+    data += [(100 + i, " ".join(rng.sample(other, 30) + passage + rng.sample(other, 30))) for i in range(3)]
+    _all_hot(monkeypatch, 4)
+    got = {(r.doc_id, r.source_id): (r.start_word, r.end_word) for r in op2_chains.passages(documents(data)).collect()}
+    assert set(got) == {(101, 100), (102, 101)} and all(a <= 30 and b >= 90 for a, b in got.values())
+
+
 def test_all_passages_of_a_chain_are_found(documents):
     rng = random.Random(9)
     word = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
