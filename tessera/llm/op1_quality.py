@@ -26,6 +26,7 @@ from tessera.llm.common import _marked, skew_join, store
 
 GAP = r"[\x20\x09-\x0D]+"
 NO_WORD = r"^[\x20\x09-\x0D]*$"
+BLANKS, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
 
 #: A line is removed if it stands in more documents of its host than both.
 MIN_LINE_DOCS = 20
@@ -39,8 +40,8 @@ def _words(text: Column) -> Column:
 
 
 def _repeated(words: Column, span: int) -> Column:
-    """Words inside ``span``-word windows that occur twice or more."""
-    n = F.size(words)
+    """Hashes of the words, and of the ``span``-word windows of the column ``__h`` that holds them."""
+    n = F.size("__h")
     h = F.transform(words, lambda w: F.xxhash64(w))
     # ranges are closed: no window if there are fewer words
     at = F.when(n >= span, F.sequence(F.lit(1), n - (span - 1))).otherwise(F.array().cast("array<int>"))
@@ -53,28 +54,26 @@ def base_rules(docs: DataFrame, text: str = "text", span: int = 5) -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     keep = [F.col(f"`{c}`") for c in docs.columns if c != text]
     h, grams = _repeated(F.col("__w"), span)
-    d = docs.select(*keep, t.alias("__t")).withColumn("__w", _words(F.col("__t")))
-    d = d.withColumn("__h", h)
     lines = F.filter(F.split(F.col("__t"), "\n"), lambda x: ~x.rlike(NO_WORD))
-    d = (d.withColumn("n_words", F.size("__w").cast("long"))
-         .withColumn("word_chars", F.length(F.array_join("__w", "")).cast("long"))
-         .withColumn("n_symbols", (F.length("__t") - F.length(F.regexp_replace("__t", r"[#*$%&|<>]", ""))).cast("long"))
-         .withColumn("__l", lines)
-         .withColumn("n_dup_lines", (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long"))
-         .withColumn("__g", grams))
+    d = docs.select(*keep, t.alias("__t")).select(*keep, "__t", _words(F.col("__t")).alias("__w"), lines.alias("__l"))
+    # what is counted leaves the row at once: text, words and lines are not copied from step to step
+    counts = {"n_words": F.size("__w"), "word_chars": F.length(F.translate("__t", BLANKS, "")),
+              "n_symbols": F.length("__t") - F.length(F.translate("__t", SYMBOLS, "")), "n_dup_lines": F.size("__l") - F.size(F.array_distinct("__l"))}
+    d = d.select(*keep, *[c.cast("long").alias(name) for name, c in counts.items()], h.alias("__h"))
+    d = d.withColumn("__g", grams).drop("__h").withColumn("__some", F.size(F.array_distinct("__g")) < F.size("__g"))
     # windows that occur again, by position; then the words they cover together
     pairs = F.array_sort(F.arrays_zip(F.col("__g").alias("h"), F.sequence(F.lit(1), F.size("__g")).alias("p")))
     same = F.transform(F.col("__s"), lambda x, i: F.when(
         (F.get(F.col("__s"), i - 1)["h"] == x["h"]) | (F.get(F.col("__s"), i + 1)["h"] == x["h"]), x["p"]))
     starts = F.array_sort(F.array_compact(same))
-    some = F.size(F.array_distinct("__g")) < F.size("__g")
-    d = d.withColumn("__s", F.when(some, pairs)).withColumn("__p", starts)
+    some = F.col("__some")
+    d = d.withColumn("__s", F.when(some, pairs)).drop("__g").withColumn("__p", starts).drop("__s")
     covered = F.aggregate(
         F.transform(F.col("__p"), lambda p, i: F.least(F.lit(span), F.coalesce(F.get(F.col("__p"), i + 1) - p, F.lit(span)))),
         F.lit(0).cast("long"), lambda a, x: a + x)
     d = d.withColumn("n_repeat_words", F.when(some, covered).otherwise(F.lit(0).cast("long")))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return d.withColumn("base_failed", failed).drop("__t", "__w", "__h", "__l", "__g", "__s", "__p")
+    return d.withColumn("base_failed", failed).drop("__some", "__p")
 
 
 def _norm(line: Column) -> Column:

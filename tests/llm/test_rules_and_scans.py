@@ -44,6 +44,18 @@ def test_quality_counts_and_verdict_against_brute_force(documents):
     assert 0 < sum(not r.kept and not r.base_failed for r in got.values()) < len(data)
 
 
+def test_counted_texts_and_words_leave_the_row(documents):
+    node = op1_quality.base_rules(documents([(1, "a b"), (2, None)]).select("doc_id", "text"))._jdf.queryExecution().optimizedPlan()
+    outputs = []
+    while True:
+        outputs.append(node.output().mkString(" "))
+        if not node.children().size():
+            break
+        node = node.children().head()
+    for name in ("__t#", "__w#", "__l#", "__h#", "__g#", "__s#"):
+        assert sum(name in x for x in outputs) <= 2, name
+
+
 def test_quality_odd_rows_and_empty_table(documents):
     got = op1_quality.quality(documents(ODD)).collect()
     assert len(got) == len(ODD) and sum(r.doc_id == 5 for r in got) == 2
