@@ -40,7 +40,7 @@ from tessera.llm.common import ragged, steps
 SPACE_MARK = "▁"
 N_BEST = 4
 #: Text bytes whose equal segments are solved once.
-TOGETHER = 8 << 20
+TOGETHER = 2 << 20
 #: Longer segments are solved one by one instead of side by side.
 SIDE_BY_SIDE = 24
 _BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tessera.llm.blocks import lean
 from tessera.llm.common import LOWER, Rolling, column, connected, mix, pack_rows, skew_join, steps, store, width, within, words
 
 SIZE, PERCENT = 5, 80
@@ -44,6 +45,8 @@ SIZE, PERCENT = 5, 80
 HOT, HOT_DOCS = 1 << 20, 50
 #: Text bytes within which tokens are counted before counts are sent on.
 COUNTED = 4 << 20
+#: Text bytes that are cut into tokens at once (a longer text is cut alone).
+PIECE = 1 << 19
 #: Groups up to this size give their pairs themselves.
 SMALL = 16
 #: Rows of groups whose pairs are formed at once.
@@ -54,7 +57,21 @@ _STEP = 1.26  # sizes of partners (at most 1.25 : 1) are in the same or neighbou
 
 
 def token_sets(data: np.ndarray, off: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
-    """(row, token) of the distinct word n-grams of each text, sorted."""
+    """(row, token) of the distinct word n-grams of each text, sorted.
+
+    Cutting takes some forty bytes for each byte of text; it goes by pieces of
+    whole texts, so that only the tokens grow with what is handed in."""
+    rows, grams, lo = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], 0
+    while lo < len(off) - 1:
+        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + PIECE, "right")) - 1)
+        r, g = _piece_sets(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], size)
+        rows.append(r + lo)
+        grams.append(g)
+        lo = hi
+    return np.concatenate(rows), np.concatenate(grams)
+
+
+def _piece_sets(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     low = LOWER[data]
     start, end, row = words(low, off)
     if not len(start):
@@ -153,6 +170,7 @@ def features(docs: DataFrame) -> DataFrame:
     """kind 0: a document's size, set digest and sketch.  kind 1: tokens that
     several documents of one step hold, with their number there."""
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for b, data, off in steps(batches, budget=COUNTED):
             row, tok = token_sets(data, off)
             at = _bounds(row, b.num_rows)
@@ -181,6 +199,7 @@ def groups(docs: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int) ->
     shared = spark.sparkContext.broadcast((hot, rank))
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         hot, rank = shared.value
         for b, data, off in steps(batches):
             row, tok = token_sets(data, off)
@@ -210,6 +229,7 @@ def groups(docs: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int) ->
                             ns=pa.array([n[who[cut[i]:cut[i + 1]]].astype(np.int32).tobytes() for i in some], pa.binary()))
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         held = [(r["keys"], r["ids"], r["ns"]) for b in batches for r in b.to_pylist()]
         if not held:
             return
@@ -270,6 +290,7 @@ def _filtered(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
          .join(s.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b")), "b"))
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for b in batches:
             ok = may_link(column(b, "n_a"), column(b, "n_b"), b["s_a"].to_pylist(), b["s_b"].to_pylist(), percent)
             yield b.select(["a", "b"]).filter(pa.array(ok))
@@ -285,6 +306,7 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a"))
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for whole in batches:
             for b, data, off in steps([whole], "text_a"):
                 ra, ta = token_sets(data, off)
@@ -320,6 +342,7 @@ def _across(g: DataFrame, nodes: DataFrame, component: DataFrame, percent: int)
     rows = rows.join(at.where("id = rep").select("rep", "n", "sketch"), "rep")
 
     def tile(t: pa.Table) -> pa.Table:
+        lean()
         rep, c, n = (t[x].to_numpy() for x in ("rep", "c", "n"))
         sk = t["sketch"].to_pylist()
         out = []

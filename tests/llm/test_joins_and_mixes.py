@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -445,6 +446,24 @@ def test_jaccard_odd_rows(documents):
     assert op9_jaccard.components(documents([])).count() == 0
 
 
+def test_token_sets_hold_a_piece_at_a_time(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(rng.choice((0, 3, 40, 600)))).encode() for _ in range(1500)]
+    texts[7] = b"long text " * 4000
+    data, off = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+    tracemalloc.start()
+    row, tok = op9_jaccard.token_sets(data, off)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(data)  # one cut of everything takes 38 bytes a byte
+    for size in (1, 1 << 10, 1 << 30):
+        monkeypatch.setattr(op9_jaccard, "PIECE", size)
+        r, t = op9_jaccard.token_sets(data, off)
+        assert (r == row).all() and (t == tok).all()
+    for i in (0, 7, 8, len(texts) - 1):
+        assert (tok[row == i] == op9_jaccard.token_sets(data[off[i]:off[i + 1]], np.array([0, len(texts[i])]))[1]).all()
+
+
 def test_sketches_never_drop_a_link():
     rng = np.random.default_rng(6)
     for _ in range(200):
