@@ -477,6 +477,17 @@ def test_sketches_never_drop_a_link():
 
 # ---- pipeline
 
+def test_the_mix_is_not_broadcast(spark, documents):
+    import corpus_pipeline
+    rng = random.Random(10)
+    w = vocabulary(rng, 50)
+    df = documents([(i, prose(rng, w, rng.choice([3, 7, 20])), ["b", "a", None, ""][i % 4]) for i in range(300)] + [(1000, None, "a"), (1001, " ", "a")])
+    copies = {r.doc_id: r.copies for r in op3_mix.mix(df).where("taken > 0").collect()}
+    out = corpus_pipeline.take_mix(spark, df, "")
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, out.collect()), key=str) == sorted((tuple(r) for r in df.collect() for _ in range(copies.get(r.doc_id, 0))), key=str)
+
+
 def test_pipeline_against_brute_force(spark, documents, tmp_path):
     import corpus_pipeline
     rng = random.Random(17)
