@@ -7,12 +7,17 @@ where that is lowest.
 
 Counting goes by length, so that what is rare is left out before it is sent:
 blocks of text (``blocks``) ask which of their words are frequent, then which
-pairs and which triples of these are, and from every word on the stretch of up
-to ``most`` words whose every triple is frequent is counted.  A phrase that occurs ``least`` times
-has no rarer part, so nothing is lost.  Every step sends one row per block and
-distinct key.  Sorted, these stretches are one stream that gives the counts of
-all longer phrases in one reading: those with a common prefix stand together
-(``prefix_counts``).
+pairs of these are.  Windows of 3 to ``most`` words whose pairs are all frequent
+are mostly rare themselves, so they are counted by hash first: every block adds
+its windows to ``_slots`` slots, packed (``_sketch``), and learns which of its
+slots reach ``least`` in all blocks together (``_hot``).  A slot counts all that
+a window in it occurs, or more, so one in a slot below is rare for certain.
+From every word on the longest stretch without such a window is then counted
+exactly.  A phrase that occurs ``least`` times has no rarer part, so nothing is
+lost.  Words, pairs and stretches send one row per block and distinct key, the
+sketch one per block and part of the slots.  Sorted, the stretches are one
+stream that gives the counts of all longer phrases in one reading: those with a
+common prefix stand together (``prefix_counts``).
 
 The counts are then kept as two streams: in prefix order (sorted by first
 word, second word, ...) and in suffix order (by last word, the one before it,
@@ -46,7 +51,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tessera.llm.blocks import BLOCK_BYTES, STEP_BYTES, binary_array, block_names, lean, meet, squeeze, unified, unsqueeze
-from tessera.llm.common import LOWER, byte_set, steps, store, width, words
+from tessera.llm.common import LOWER, byte_set, mix, steps, store, width, words
 
 #: Bytes that end a piece; blank and tab only part words.
 STOPS = byte_set(b".,;:!?\n\v\f\r")
@@ -131,78 +136,107 @@ def _pairs(block: pa.Table, answers: pa.Table) -> pa.Table:
     return _counted(block, g1=key[pair // len(key)], g2=key[pair % len(key)], n=n.astype(np.int64))
 
 
-class _Frequent:
-    """A block's words as numbers, and the places where frequent pairs and triples begin."""
+class _Windows:
+    """A block's words as numbers; by size, where windows of 3 to ``most`` words begin
+    whose every pair is frequent (``at``), and their slots."""
 
-    def __init__(self, block: pa.Table, answers: pa.Table):
+    def __init__(self, block: pa.Table, answers: pa.Table, most: int, slots: int):
         self.x, on, self.key, _ = _known(block, answers)
-        k, order = len(self.key), np.argsort(self.key)
+        x, k, order = self.x, len(self.key), np.argsort(self.key)
         rank = lambda c: order[np.searchsorted(self.key[order], c.to_numpy())]
-        pairs = answers.select(["key", "g2"]).filter(pa.compute.and_(answers["g2"].is_valid(), answers["g3"].is_null()))
-        triples = answers.select(["key", "g2", "g3"]).filter(answers["g3"].is_valid())
-        self.known = np.sort(rank(pairs["key"]) * k + rank(pairs["g2"]))
-        x = self.x
-        self.pair = np.zeros(len(x), bool)
-        self.pair[:-1] = (x[:-1] >= 0) & (x[1:] >= 0) & on[1:]
-        self.number = np.zeros(len(x), np.int64)  # of the pair, where there is one
-        self.number[self.pair], self.pair[self.pair] = self._find(self.known, x[:-1][self.pair[:-1]].astype(np.int64) * k + x[1:][self.pair[:-1]])
-        self.triple = np.zeros(len(x), bool)
-        if len(triples):
-            first, _ = self._find(self.known, rank(triples["key"]) * k + rank(triples["g2"]))
-            known = np.sort(first * k + rank(triples["g3"]))
-            at = self.two()
-            self.triple[at] = self._find(known, self.number[at] * k + x[at + 2])[1]
-
-    def two(self) -> np.ndarray:
-        """Where a frequent pair is followed by another."""
-        return np.flatnonzero(self.pair[:-1] & self.pair[1:])
-
-    @staticmethod
-    def _find(known: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(known):
-            return np.zeros(len(code), np.int64), np.zeros(len(code), bool)
-        at = np.minimum(np.searchsorted(known, code), len(known) - 1)
-        return at, known[at] == code
-
-
-def _triples(block: pa.Table, answers: pa.Table) -> pa.Table:
-    """Distinct triples whose two pairs are frequent, counted."""
-    none = np.empty(0, np.int64)
-    if not len(block) or not answers["g2"].is_valid().to_numpy().any():
-        return _counted(block, g1=none, g2=none, g3=none, n=none)
-    f = _Frequent(block, answers)
-    at, k = f.two(), len(f.key)
-    code, n = np.unique(f.number[at] * k + f.x[at + 2], return_counts=True)
-    pair = f.known[code // k]
-    return _counted(block, g1=f.key[pair // k], g2=f.key[pair % k], g3=f.key[code % k], n=n.astype(np.int64))
+        pairs = answers.select(["key", "g2"]).filter(answers["g2"].is_valid())
+        known = np.sort(rank(pairs["key"]) * k + rank(pairs["g2"]))
+        pair = np.zeros(len(x) + most, bool)
+        at = np.flatnonzero((x[:-1] >= 0) & (x[1:] >= 0) & on[1:])
+        code = x[at].astype(np.int64) * k + x[at + 1]
+        pair[at] = known[np.minimum(np.searchsorted(known, code), len(known) - 1)] == code
+        at, hashed = np.flatnonzero(pair), mix(self.key.view(np.uint64))
+        code = mix(hashed[x[at]]) + hashed[x[at + 1]]
+        self.at, self.slot = {}, {}
+        for m in range(3, most + 1):
+            longer = pair[at + m - 2]
+            at, code = at[longer], mix(code[longer])
+            code += hashed[x[at + m - 1]]
+            self.at[m], self.slot[m] = at, (mix(code) % np.uint64(slots)).astype(np.int64)
+
+    def every_slot(self) -> np.ndarray:
+        return np.concatenate(list(self.slot.values()))
+
+
+def _slots(occurrences: int, least: int) -> int:
+    """Slots for the windows of a table whose frequent pairs occur so often: a rare
+    window shares its slot with an eighth of ``least`` others (at most 100 / 8), roughly."""
+    return max(1, occurrences * 8 // max(1, min(least, 100)))
+
+
+def _sketch(most: int, slots: int, parts: int):
+    """How often the block's windows fall into each slot: a row per part of the slots,
+    with the steps from slot to slot and the counts."""
+    schema, span = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("steps", pa.binary()), ("counts", pa.binary())]), -(-slots // parts)
+
+    def count(block: pa.Table, answers: pa.Table) -> pa.Table:
+        if not len(block) or not answers["g2"].is_valid().to_numpy().any():
+            return schema.empty_table()
+        slot, n = np.unique(_Windows(block, answers, most, slots).every_slot(), return_counts=True)
+        cut, out = np.searchsorted(slot, np.arange(parts + 1) * span), []
+        for p in np.flatnonzero(np.diff(cut)).tolist():
+            mine = slice(cut[p], cut[p + 1])
+            out.append({"block": block["block"][0].as_py(), "part": p, "steps": squeeze(np.diff(slot[mine], prepend=p * span).astype(np.int32)),
+                        "counts": squeeze(n[mine].astype(np.int32))})
+        return pa.Table.from_pylist(out, schema)
+
+    return count, "block long, part int, steps binary, counts binary"
+
+
+def _hot(span: int, least: int):
+    """For each block's row of a part of ``span`` slots: which of its slots reach ``least`` in all rows together."""
+    def hot(rows: pa.Table) -> pa.Table:
+        lean()
+        total = np.zeros(span, np.int64)
+        slots = lambda packed: np.cumsum(unsqueeze(packed.as_py(), np.int32), dtype=np.int64)
+        for packed, n in zip(rows["steps"], rows["counts"]):
+            total[slots(packed)] += unsqueeze(n.as_py(), np.int32)
+        reached = [np.packbits(total[slots(packed)] >= least).tobytes() for packed in rows["steps"]]
+        return pa.table({"block": rows["block"], "part": rows["part"], "hot": pa.array(reached, pa.binary())})
 
+    return hot, "block long, part int, hot binary"
 
-def _windows(most: int):
-    schema = pa.schema([*[(f"g{i + 1}", pa.int64()) for i in range(most)], ("n", pa.int64())])
+
+def _stretches(most: int, slots: int, parts: int):
+    schema, span = pa.schema([*[(f"g{i + 1}", pa.int64()) for i in range(most)], ("n", pa.int64())]), -(-slots // parts)
 
     def count(block: pa.Table, answers: pa.Table) -> pa.Table:
-        """Distinct stretches of 4 to ``most`` words, counted: from every word on as
-        far as all triples are frequent."""
-        if not len(block) or not answers["g3"].is_valid().to_numpy().any():
+        """Distinct stretches of 3 to ``most`` words, counted: from every word on as
+        far as all windows' slots are hot."""
+        hot = answers.select(["part", "hot"]).filter(answers["hot"].is_valid()).sort_by("part")
+        if not len(block) or not len(hot):
             return schema.empty_table()
-        f = _Frequent(block, answers)
-        good = np.concatenate([f.triple, np.zeros(most, bool)])
-        start, out = np.flatnonzero(good), []
-        for m in range(4, most + 1):
-            start = start[good[start + m - 3]]
-            mine = start if m == most else start[~good[start + m - 2]]  # that end here
-            got = pa.table({f"{i}": f.x[mine + i] for i in range(m)}).group_by([f"{i}" for i in range(m)]).aggregate([([], "count_all")])
-            out.append(pa.table([*[f.key[got[f"{i}"].to_numpy()] if i < m else np.full(len(got), -1) for i in range(most)], got["count_all"].to_numpy()],
+        w = _Windows(block, answers, most, slots)
+        slot, number = np.unique(w.every_slot(), return_inverse=True)
+        asked = np.bincount(slot // span)
+        reached = np.concatenate([np.unpackbits(np.frombuffer(h.as_py(), np.uint8), count=k)
+                                  for h, k in zip(hot["hot"], asked[asked > 0].tolist(), strict=True)]).astype(bool)[number]
+        good, lo, out = {most + 1: np.zeros(len(w.x) + 1, bool)}, 0, []
+        for m in range(3, most + 1):
+            good[m] = np.zeros(len(w.x) + 1, bool)
+            good[m][w.at[m]] = reached[lo:lo + len(w.at[m])]
+            lo += len(w.at[m])
+            if m > 3:
+                good[m][:-1] &= good[m - 1][:-1] & good[m - 1][1:]
+        for m in range(3, most + 1):
+            mine = np.flatnonzero(good[m] & ~good[m + 1])  # that end here
+            got = pa.table({f"{i}": w.x[mine + i] for i in range(m)}).group_by([f"{i}" for i in range(m)]).aggregate([([], "count_all")])
+            out.append(pa.table([*[w.key[got[f"{i}"].to_numpy()] if i < m else np.full(len(got), -1) for i in range(most)], got["count_all"].to_numpy()],
                                 schema=schema))
         return pa.concat_tables(out)
 
     return count, ", ".join([*[f"g{i + 1} long" for i in range(most)], "n long"])
 
 
-def prefix_counts(batches: Iterable[pa.RecordBatch], most: int, least: int) -> Iterator[pa.RecordBatch]:
+def prefix_counts(batches: Iterable[pa.RecordBatch], most: int, least: int, shortest: int = 4) -> Iterator[pa.RecordBatch]:
     """Read a sorted stream of stretches (keys g1 .. g<most>, -1 behind the last
-    word, n) once: the phrases of 4 words or more that they begin with and that
-    occur ``least`` times, with their size and count ``a``.
+    word, n) once: the phrases of ``shortest`` words or more that they begin with
+    and that occur ``least`` times, with their size and count ``a``.
 
     Stretches with one prefix stand together; the last group of each size stays
     open until the next batch.
@@ -218,7 +252,7 @@ def prefix_counts(batches: Iterable[pa.RecordBatch], most: int, least: int) -> I
     for b in batches:
         every = np.stack([b.column(i).to_numpy() for i in range(most)], 1)
         n = b.column(most).to_numpy()
-        for m in range(4, most + 1):
+        for m in range(shortest, most + 1):
             here = every[:, m - 1] >= 0
             k, c = every[here, :m], n[here]
             if m in open_:
@@ -253,31 +287,22 @@ def counts(docs: DataFrame, lang: str = "lang", text: str = "text", least: int =
     known = known.select("block", "place", "key", "count")
     keys = [f"g{i + 1}" for i in range(most)]
 
-    def frequent(found: DataFrame, size: int) -> DataFrame:
-        """The frequent ones of all blocks' phrases of a size; a row per block, one of each as head."""
-        alike = whole(*keys[:size])
-        return store(found.withColumn("a", F.sum("n").over(alike)).withColumn("head", F.first("block").over(alike) == F.col("block"))
-                     .where(F.col("a") >= least).drop("n"), "phrase-frequent")
-
-    def asked_for(rows: DataFrame, size: int) -> DataFrame:
-        null = lambda kind, name: F.lit(None).cast(kind).alias(name)
-        return rows.select("block", null("int", "place"), F.col("g1").alias("key"), null("long", "count"), "g2", "g3" if size > 2 else null("long", "g3"))
-
-    def counted(rows: DataFrame, size: int) -> DataFrame:
-        return rows.where("head").select(*keys[:size], *[F.lit(-1).cast("long").alias(k) for k in keys[size:]], F.lit(size).alias("size"), "a")
-
-    pairs = frequent(meet(texts, known, _pairs, "block long, g1 long, g2 long, n long"), 2)
-    phrases = counted(pairs, 2)
-    answers = known.withColumns({"g2": F.lit(None).cast("long"), "g3": F.lit(None).cast("long")}).unionByName(asked_for(pairs, 2))
+    # the frequent ones of all blocks' pairs; a row per block, one of each as head
+    pairs = meet(texts, known, _pairs, "block long, g1 long, g2 long, n long")
+    pairs = store(pairs.withColumn("a", F.sum("n").over(whole("g1", "g2"))).withColumn("head", F.first("block").over(whole("g1", "g2")) == F.col("block"))
+                  .where(F.col("a") >= least).drop("n"), "phrase-frequent")
+    phrases = pairs.where("head").select("g1", "g2", *[F.lit(-1).cast("long").alias(k) for k in keys[2:]], F.lit(2).alias("size"), "a")
     if most > 2:
-        triples = frequent(meet(texts, answers, _triples, "block long, g1 long, g2 long, g3 long, n long"), 3)
-        phrases = phrases.unionByName(counted(triples, 3))
-        answers = answers.unionByName(asked_for(triples, 3))
-    if most > 3:
-        count, schema = _windows(most)
-        stretches = store(meet(texts, answers, count, schema), "phrase-windows").repartitionByRange(width(docs.sparkSession), *keys[:4])
+        null = lambda kind, name: F.lit(None).cast(kind).alias(name)
+        answers = (known.select("*", null("long", "g2"))
+                   .unionByName(pairs.select("block", null("int", "place"), F.col("g1").alias("key"), null("long", "count"), "g2")))
+        slots, parts = _slots(pairs.where("head").agg(F.sum("a")).first()[0] or 0, least), width(docs.sparkSession)
+        hot = meet(texts, answers, *_sketch(most, slots, parts)).groupBy("part").applyInArrow(*_hot(-(-slots // parts), least))
+        answers = (answers.select("*", null("int", "part"), null("binary", "hot"))
+                   .unionByName(hot.select("block", null("int", "place"), null("long", "key"), null("long", "count"), null("long", "g2"), "part", "hot")))
+        stretches = store(meet(texts, answers, *_stretches(most, slots, parts)), "phrase-windows").repartitionByRange(width(docs.sparkSession), *keys[:3])
         phrases = phrases.unionByName(stretches.sortWithinPartitions(*keys).mapInArrow(
-            lambda it: prefix_counts(it, most, least), ", ".join([*[f"{k} long" for k in keys], "size int, a long"])))
+            lambda it: prefix_counts(it, most, least, 3), ", ".join([*[f"{k} long" for k in keys], "size int, a long"])))
     phrases = (phrases.withColumn("last", F.element_at(F.array(*keys), F.col("size")))
                .join(found.select("lang", F.col("key").alias("g1"), F.col("count").alias("__first")), "g1")
                .join(found.select(F.col("key").alias("last"), F.col("count").alias("__last")), "last"))

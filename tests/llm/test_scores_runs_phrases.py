@@ -142,6 +142,39 @@ def test_phrases_equal_the_plain_version(spark, documents, least, most, inside):
     assert got == brute.phrases(rows, least, most, inside, 40)
 
 
+def _made(monkeypatch):
+    """Rows of the steps that send words three and more at a time, step by step, once counted."""
+    made, meet = [], op13_phrases.meet
+
+    def counted(blocks_, answers, f, schema):
+        out = meet(blocks_, answers, f, schema).localCheckpoint()
+        if "g3" in schema:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(op13_phrases, "meet", counted)
+    return made
+
+
+def test_rare_triples_of_frequent_pairs_are_not_sent(documents, monkeypatch):
+    """a0 m c0, a0 m c1, ...: 900 triples that occur once, of 60 pairs that occur 30 times."""
+    rows = [(i * 30 + j, f"a{i} m c{j}.") for i in range(30) for j in range(30)] + [(1000 + i, "x y z w. x y z") for i in range(20)]
+    made = _made(monkeypatch)
+    got = [tuple(r) for r in op13_phrases.collocations(documents(rows).repartition(2), least=20).collect()]
+    assert sorted(got) == brute.phrases([("en", t) for _, t in rows], 20)
+    assert sum(made) < 200
+
+
+@pytest.mark.parametrize("slots", [1, 2, 50])
+def test_phrases_that_share_slots_are_told_apart(spark, monkeypatch, slots):
+    """Whatever falls together in the sketch: counts are those of the phrases."""
+    monkeypatch.setattr(op13_phrases, "_slots", lambda occurrences, least: slots)
+    rng = random.Random(slots)
+    rows = [(rng.choice(["en", "de"]), " ".join(rng.choice(["a", "b", "c", "d."]) for _ in range(rng.randint(0, 60)))) for _ in range(60)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    assert sorted(tuple(r) for r in op13_phrases.collocations(df, least=9, top=None).collect()) == brute.phrases(rows, 9, top=10**6)
+
+
 def test_phrases_of_an_empty_table(documents):
     assert op13_phrases.collocations(documents([])).count() == 0
     assert op13_phrases.collocations(documents([(1, "few words"), (2, None)])).count() == 0
